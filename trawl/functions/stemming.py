@@ -31,9 +31,10 @@ STEP_3 = {
     "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic",
     "ful": "", "ness": "",
 }
+# Of "sion" and "tion" only the last three letters go.
 STEP_4 = (
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
-    "(?<=[st])ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
+    "sion", "tion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
 
@@ -100,7 +101,8 @@ def _final_y(word: Column) -> Column:
 
 def _suffix_of(word: Column, suffixes) -> Column:
     """The longest listed suffix of ``word``, or the empty string."""
-    return F.regexp_extract(word, f"({'|'.join(suffixes)})$", 1)
+    reach = max(map(len, suffixes))
+    return F.regexp_extract(F.right(word, F.lit(reach)), f"({'|'.join(suffixes)})$", 1)
 
 
 def _swap_suffix(word: Column, suffix: Column, table: dict[str, str]) -> Column:
@@ -113,7 +115,8 @@ def _swap_suffix(word: Column, suffix: Column, table: dict[str, str]) -> Column:
 
 
 def _drop_suffix(word: Column, suffix: Column) -> Column:
-    base = F.left(word, F.length(word) - F.length(suffix))
+    kept = F.when(suffix.isin("sion", "tion"), 1).otherwise(0)
+    base = F.left(word, F.length(word) - F.length(suffix) + kept)
     return F.when((suffix != "") & base.rlike(MEASURE_OVER_1), base).otherwise(word)
 
 

@@ -73,8 +73,23 @@ def matched_sums() -> list:
     ]
 
 
+def with_topic_sums(
+    weighed: DataFrame, scorers: list[Scorer], collection: Collection
+) -> DataFrame:
+    """Add the per-topic sums that scorers ask for to every term row of the topic.
+
+    They ride along with the matches, so nothing is joined by topic after scoring.
+    """
+    sums = [
+        F.sum(s.topic(collection)).alias(f"t_{s.name}")
+        for s in scorers
+        if s.topic is not None
+    ]
+    return weighed.join(weighed.groupBy("qid").agg(*sums), "qid") if sums else weighed
+
+
 def score_pairs(
-    matches: DataFrame, weighed: DataFrame, scorers: list[Scorer], collection: Collection
+    matches: DataFrame, scorers: list[Scorer], collection: Collection
 ) -> DataFrame:
     """One row per (topic, document) candidate, one score column per model.
 
@@ -82,15 +97,10 @@ def score_pairs(
     grouping needs no exchange.
     """
     sums = [F.sum(s.match(collection)).alias(f"m_{s.name}") for s in scorers]
-    pairs = matches.groupBy("qid", "docno", "doclength").agg(*sums)
-    per_topic = [s for s in scorers if s.topic is not None]
-    if per_topic:
-        constants = weighed.groupBy("qid").agg(
-            *[F.sum(s.topic(collection)).alias(f"t_{s.name}") for s in per_topic]
-        )
-        if is_small(constants, BROADCAST_TOPIC_ROWS):
-            constants = F.broadcast(constants)
-        pairs = pairs.join(constants, "qid")
+    constants = [
+        F.max(f"t_{s.name}").alias(f"t_{s.name}") for s in scorers if s.topic is not None
+    ]
+    pairs = matches.groupBy("qid", "docno", "doclength").agg(*sums, *constants)
     return pairs.select(
         "qid",
         "docno",

@@ -13,6 +13,7 @@ from trawl.operators.scoring import (
     rank_hits,
     score_pairs,
     weigh_topic_terms,
+    with_topic_sums,
 )
 from trawl.plans.indexing import Index
 
@@ -33,8 +34,11 @@ def weighed_terms(index: Index, topics: DataFrame) -> DataFrame:
 def score(index: Index, weighed: DataFrame, models: Sequence[str | Scorer]) -> DataFrame:
     """Candidates with one score column per model."""
     scorers = [m if isinstance(m, Scorer) else scorer(m) for m in models]
-    matches = match_postings(index.postings, weighed)
-    return score_pairs(matches, weighed, scorers, index.collection())
+    collection = index.collection()
+    matches = match_postings(
+        index.postings, with_topic_sums(weighed, scorers, collection)
+    )
+    return score_pairs(matches, scorers, collection)
 
 
 def retrieve(

@@ -62,27 +62,26 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unclosed_tails(blocks: DataFrame) -> DataFrame:
-    """Places of file-final blocks that no closing tag follows, at most one per file.
+    """Places of file-final blocks with an id that no closing tag follows.
 
     The separators are not part of the rows, so a file whose every block is closed is
     exactly one separator per row longer than its rows; a file with an open tail is one
     separator shorter than that.
     """
     splits = blocks.groupBy("file", "start").agg(
-        F.max("seq").alias("seq"),
+        F.max(F.struct("seq", F.col("docno").isNotNull().alias("has_id"))).alias("end"),
         F.sum("n_bytes").alias("n_bytes"),
         F.count("*").alias("n_rows"),
         F.max("file_size").alias("file_size"),
     )
     files = splits.groupBy("file").agg(
-        F.max(F.struct("start", "seq")).alias("last"),
+        F.max(F.struct("start", "end.seq", "end.has_id")).alias("last"),
         (
             F.sum("n_bytes") + F.sum("n_rows") * len(BLOCK_END) - F.max("file_size")
         ).alias("excess"),
     )
-    return files.where(F.col("excess") == len(BLOCK_END)).select(
-        "file", "last.start", "last.seq"
-    )
+    open_tail = (F.col("excess") == len(BLOCK_END)) & F.col("last.has_id")
+    return files.where(open_tail).select("file", "last.start", "last.seq")
 
 
 def keep_documents(blocks: DataFrame) -> DataFrame:

@@ -76,8 +76,7 @@ def _longest_suffix(rules: dict[str, str], measure: str) -> str:
 
 def _step_4() -> str:
     """``ion`` goes only after s or t, which then belongs to the base."""
-    plain = {s: "" for s in STEP_4 if not s.startswith("(")}
-    plain |= {"sion": "s", "tion": "t"}
+    plain = {s: "" for s in STEP_4} | {"sion": "s", "tion": "t"}
     cases = []
     for suffix in sorted(plain, key=len, reverse=True):
         kept = len(suffix) - len(plain[suffix])
