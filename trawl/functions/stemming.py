@@ -3,7 +3,9 @@
 The rules are those of the published algorithm (M. F. Porter, 1980) with the two
 departures of its author's later implementations (``bli`` to ``ble``, ``logi`` to
 ``log``). Each step is one select over the previous step's column, so the chain runs
-inside one generated stage, without a shuffle, a join or Python.
+inside one generated stage, without a shuffle, a join or Python. Steps are single
+replacements behind a cheap test of the ending: that keeps the generated method small
+enough for the JVM to compile.
 
 A ``y`` that acts as a consonant is written ``Y`` while stemming; after that a vowel is
 simply one of ``aeiouy`` and the measure of a stem is a plain regular expression.
@@ -14,10 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HAS_VOWEL = r"[aeiouy]"
-MEASURE_OVER_0 = r"^[^aeiouy]*[aeiouy]+[^aeiouy]"
-MEASURE_OVER_1 = r"^[^aeiouy]*[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]"
-SHORT_END = r"[^aeiouy][aeiouy][^aeiouywxY]$"
+C, V = "[^aeiouy]", "[aeiouy]"
+# Stem of measure at least 1, at least 2.
+MEASURE_1 = f"{C}*{V}+{C}.*?"
+MEASURE_2 = f"{C}*{V}+{C}+{V}+{C}.*?"
+# Stem of measure exactly 1 that ends consonant, vowel, consonant other than w, x, y.
+SHORT = f"{C}+{V}[^aeiouywxY]"
 
 # Suffix tables of steps 2, 3 and 4.
 STEP_2 = {
@@ -31,15 +35,24 @@ STEP_3 = {
     "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic",
     "ful": "", "ness": "",
 }
-# Of "sion" and "tion" only the last three letters go.
 STEP_4 = (
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
     "sion", "tion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+# A step looks at the longest matching suffix only: a shorter one must not be taken when
+# the longer one fails its measure. Of "sion" and "tion" step 4 cuts the last three.
+GUARDED = {
+    "ation": "(?<!iz)ation",
+    "ment": "(?<!e)ment",
+    "ent": "(?<!m)ent",
+    "sion": "(?<=s)ion",
+    "tion": "(?<=t)ion",
+}
+
 
-def _cut(word: Column, n: int) -> Column:
-    return F.left(word, F.length(word) - n)
+def _one_of(suffixes) -> str:
+    return "|".join(GUARDED.get(s, s) for s in suffixes)
 
 
 def _mark_consonant_y(word: Column) -> Column:
@@ -49,93 +62,58 @@ def _mark_consonant_y(word: Column) -> Column:
 
 
 def _plurals(word: Column) -> Column:
-    return (
-        F.when(~word.endswith("s"), word)
-        .when(word.endswith("sses") | word.endswith("ies"), _cut(word, 2))
-        .when(word.endswith("ss"), word)
-        .otherwise(_cut(word, 1))
-    )
+    cut = F.regexp_replace(word, "(ss|i)es$|([^s])s$", "$1$2")
+    return F.when(word.endswith("s"), cut).otherwise(word)
 
 
 def _past_and_gerund(word: Column) -> Column:
     """``eed``, ``ed``, ``ing``; a cut that needs tidying leaves a ``#``."""
     return (
         F.when(
-            word.endswith("eed"),
-            F.when(_cut(word, 3).rlike(MEASURE_OVER_0), _cut(word, 1)).otherwise(word),
-        )
-        .when(
-            word.endswith("ed") & _cut(word, 2).rlike(HAS_VOWEL),
-            F.concat(_cut(word, 2), F.lit("#")),
+            word.endswith("eed"), F.regexp_replace(word, f"^({MEASURE_1}ee)d$", "$1")
         )
         .when(
-            word.endswith("ing") & _cut(word, 3).rlike(HAS_VOWEL),
-            F.concat(_cut(word, 3), F.lit("#")),
+            word.endswith("ed") | word.endswith("ing"),
+            F.regexp_replace(word, f"({V}.*)(?:ed|ing)$", "$1#"),
         )
         .otherwise(word)
     )
 
 
 def _tidy_cut(word: Column) -> Column:
-    bare = _cut(word, 1)
-    return (
-        F.when(~word.endswith("#"), word)
-        .when(word.rlike("(at|bl|iz)#$"), F.concat(bare, F.lit("e")))
-        .when(word.rlike(r"([^aeiouylsz])\1#$"), _cut(word, 2))
-        .when(
-            bare.rlike(SHORT_END)
-            & bare.rlike(MEASURE_OVER_0)
-            & ~bare.rlike(MEASURE_OVER_1),
-            F.concat(bare, F.lit("e")),
-        )
-        .otherwise(bare)
-    )
+    with_e = F.regexp_replace(word, f"^({SHORT})#$|(at|bl|iz)#$", "$1$2e")
+    bare = F.regexp_replace(with_e, r"([^aeiouylsz])\1#$|#$", "$1")
+    return F.when(word.endswith("#"), bare).otherwise(word)
 
 
 def _final_y(word: Column) -> Column:
-    ends = word.endswith("y") | word.endswith("Y")
-    return F.when(
-        ends & _cut(word, 1).rlike(HAS_VOWEL), F.concat(_cut(word, 1), F.lit("i"))
-    ).otherwise(word)
+    swapped = F.regexp_replace(word, f"({V}.*)[yY]$", "$1i")
+    return F.when(word.endswith("y") | word.endswith("Y"), swapped).otherwise(word)
 
 
-def _suffix_of(word: Column, suffixes) -> Column:
-    """The longest listed suffix of ``word``, or the empty string."""
-    reach = max(map(len, suffixes))
-    return F.regexp_extract(F.right(word, F.lit(reach)), f"({'|'.join(suffixes)})$", 1)
+def _suffix_after_measure_1(word: Column, suffixes) -> Column:
+    return F.regexp_extract(word, f"^{MEASURE_1}({_one_of(suffixes)})$", 1)
 
 
 def _swap_suffix(word: Column, suffix: Column, table: dict[str, str]) -> Column:
     base = F.left(word, F.length(word) - F.length(suffix))
     entries = [F.lit(x) for pair in table.items() for x in pair]
-    return F.when(
-        (suffix != "") & base.rlike(MEASURE_OVER_0),
-        F.concat(base, F.element_at(F.create_map(*entries), suffix)),
-    ).otherwise(word)
+    swapped = F.concat(base, F.element_at(F.create_map(*entries), suffix))
+    return F.when(suffix != "", swapped).otherwise(word)
 
 
-def _drop_suffix(word: Column, suffix: Column) -> Column:
-    kept = F.when(suffix.isin("sion", "tion"), 1).otherwise(0)
-    base = F.left(word, F.length(word) - F.length(suffix) + kept)
-    return F.when((suffix != "") & base.rlike(MEASURE_OVER_1), base).otherwise(word)
+def _drop_suffix(word: Column) -> Column:
+    return F.regexp_replace(word, f"^({MEASURE_2})(?:{_one_of(STEP_4)})$", "$1")
 
 
 def _final_e(word: Column) -> Column:
-    base = _cut(word, 1)
-    return F.when(
-        word.endswith("e")
-        & (
-            base.rlike(MEASURE_OVER_1)
-            | (base.rlike(MEASURE_OVER_0) & ~base.rlike(SHORT_END))
-        ),
-        base,
-    ).otherwise(word)
+    cut = F.regexp_replace(word, f"^(?!{SHORT}e$)({MEASURE_1})e$", "$1")
+    return F.when(word.endswith("e"), cut).otherwise(word)
 
 
 def _final_ll(word: Column) -> Column:
-    return F.when(
-        word.endswith("ll") & word.rlike(MEASURE_OVER_1), _cut(word, 1)
-    ).otherwise(word)
+    cut = F.regexp_replace(word, f"^({MEASURE_2})(?<=l)l$", "$1")
+    return F.when(word.endswith("ll"), cut).otherwise(word)
 
 
 def stem_words(df: DataFrame, word: str, stem: str) -> DataFrame:
@@ -145,11 +123,9 @@ def stem_words(df: DataFrame, word: str, stem: str) -> DataFrame:
     for step in (_plurals, _past_and_gerund, _tidy_cut, _final_y):
         out = out.withColumn("__w", step(w))
     for table in (STEP_2, STEP_3):
-        out = out.withColumn("__s", _suffix_of(w, table))
+        out = out.withColumn("__s", _suffix_after_measure_1(w, table))
         out = out.withColumn("__w", _swap_suffix(w, s, table))
-    out = out.withColumn("__s", _suffix_of(w, STEP_4))
-    out = out.withColumn("__w", _drop_suffix(w, s))
-    for step in (_final_e, _final_ll):
+    for step in (_drop_suffix, _final_e, _final_ll):
         out = out.withColumn("__w", step(w))
     short = F.length(word) < 3
     kept = [c for c in df.columns if c != word]
