@@ -31,6 +31,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def set_checkpoint_dir(spark: SparkSession) -> None:
+    """Point the context's checkpoints at the shared folder unless they have a place."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else writes to."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
