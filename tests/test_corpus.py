@@ -72,7 +72,7 @@ def test_tags_count_only_at_line_start(spark, tmp_path):
 
 @pytest.mark.parametrize("bound", [0, 100_000])
 def test_last_copy_of_an_id_wins(spark, tmp_path, monkeypatch, bound):
-    monkeypatch.setattr(corpus, "CONTESTED_ROWS", bound)
+    monkeypatch.setattr(corpus, "BROADCAST_ROWS", bound)
     hot = "".join(block(ID(1), f"copy {i}") for i in range(200))
     path = write(tmp_path / "c", "a", hot + block(ID(2), "b"))
     write(tmp_path / "c", "b", block(ID(3), "c") + block(ID(1), "first of b") + block(ID(1), "last"))

@@ -4,6 +4,7 @@ import pytest
 from small import make_index, make_topics
 
 from trawl import open_index
+from trawl.operators import postings as postings_module
 from trawl.operators.postings import (
     approximate_vocabulary,
     build_positions,
@@ -54,6 +55,15 @@ def test_term_vector_lookup(index, rows):
     assert rows(vector, "term", "tf", "df", "ttf") == [("apple", 1, 2, 3), ("fig", 1, 1, 1)]
 
 
+def test_term_vectors_of_a_large_vocabulary(index, rows, monkeypatch):
+    plain = rows(term_vectors(index.postings, index.terms), "docno", "term", "tf", "df", "ttf")
+    monkeypatch.setattr(postings_module, "BROADCAST_ROWS", 0)
+    for n_frequent in (1, 5, 1000):
+        monkeypatch.setattr(postings_module, "FREQUENT_TERMS", n_frequent)
+        vectors = term_vectors(index.postings, index.terms)
+        assert rows(vectors, "docno", "term", "tf", "df", "ttf") == plain
+
+
 def test_approximate_vocabulary(index):
     assert approximate_vocabulary(index.postings).first().vocab == 6
 

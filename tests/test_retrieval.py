@@ -58,7 +58,7 @@ def test_equal_scores_rank_by_document_id(spark, tmp_path):
 def test_salted_matching_gives_the_same_scores(spark, index, monkeypatch):
     topics = make_topics(spark)
     expected = as_dict(retrieve(index, topics))
-    monkeypatch.setattr(scoring, "BROADCAST_TOPIC_ROWS", 0)
+    monkeypatch.setattr(scoring, "BROADCAST_ROWS", 0)
     got = as_dict(retrieve(index, topics))
     assert got.keys() == expected.keys()
     for key, (score, rank) in expected.items():

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Most rows of a narrow table that are sent to every executor, about 100 MB there.
+BROADCAST_ROWS = 1_000_000
+
 
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """Count ``df`` to decide whether it may be broadcast."""

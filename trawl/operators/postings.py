@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from trawl.functions.analysis import analyze
 from trawl.functions.cleaning import clean_document, clean_topic, token_count
+from trawl.operators.keyed import BROADCAST_ROWS, is_small
+
+FREQUENT_TERMS = 10_000
 
 
 def clean_documents(raw: DataFrame, stop_words: list[str]) -> DataFrame:
@@ -75,5 +78,18 @@ def topic_terms(topics: DataFrame, stop_words: list[str], stem: bool = True) ->
 
 
 def term_vectors(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Term vectors with term statistics; filter by ``docno`` for one document."""
-    return postings.select("docno", "term", "tf").join(terms, "term")
+    """Term vectors with term statistics; filter by ``docno`` for one document.
+
+    A small vocabulary is broadcast. Otherwise the postings of frequent terms, which are
+    most of the postings, meet their statistics by broadcast: at most
+    ``FREQUENT_TERMS`` terms can each have more than that share of all postings. Only
+    the rest is shuffled by term, and no term of the rest is large.
+    """
+    vectors = postings.select("docno", "term", "tf")
+    if is_small(terms, BROADCAST_ROWS):
+        return vectors.join(F.broadcast(terms), "term")
+    n_postings = terms.agg(F.sum("df")).first()[0]
+    frequent = F.col("df") > n_postings / FREQUENT_TERMS
+    heads = F.broadcast(terms.where(frequent))
+    tail = vectors.join(heads, "term", "left_anti").join(terms.where(~frequent), "term")
+    return vectors.join(heads, "term").unionByName(tail)

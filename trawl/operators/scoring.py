@@ -4,23 +4,23 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.scoring import Collection, Scorer
-from trawl.operators.keyed import is_small
+from trawl.operators.keyed import BROADCAST_ROWS, is_small
 from trawl.storage import scratch_path
 
-BROADCAST_TOPIC_ROWS = 200_000
 PUSHED_TERMS = 500
 SALTS = 64
 TOP_K_GROUP_ROWS = 2_000_000
-ROUND_TO = 6
+# Scores are rounded so that equal documents tie whatever the order of summation.
+SCORE_STEPS = 1e6
 
 
 def weigh_topic_terms(topic_terms: DataFrame, terms: DataFrame) -> DataFrame:
     """Topic terms that occur in the collection, with their statistics."""
-    small = is_small(topic_terms, BROADCAST_TOPIC_ROWS)
+    small = is_small(topic_terms, BROADCAST_ROWS)
     side = F.broadcast(topic_terms) if small else topic_terms
     return terms.join(side, "term").select("qid", "term", "qtf", "df", "ttf")
 
@@ -46,7 +46,7 @@ def match_postings(postings: DataFrame, weighed: DataFrame) -> DataFrame:
     shuffle on the term, with the postings of every term spread over salts because the
     frequent terms hold most of them.
     """
-    if is_small(weighed, BROADCAST_TOPIC_ROWS):
+    if is_small(weighed, BROADCAST_ROWS):
         return restrict_to_terms(postings, weighed).join(F.broadcast(weighed), "term")
     return salted_match(postings, weighed)
 
@@ -105,8 +105,8 @@ def score_pairs(
         "qid",
         "docno",
         *[
-            F.round(
-                s.score(collection, F.col(f"m_{s.name}"), F.col(f"t_{s.name}")), ROUND_TO
+            _rounded(
+                s.score(collection, F.col(f"m_{s.name}"), F.col(f"t_{s.name}"))
             ).alias(s.name)
             for s in scorers
         ],
@@ -185,6 +185,10 @@ def rank_by_ranges(
     )
 
 
+def _rounded(score: Column) -> Column:
+    return F.rint(score * SCORE_STEPS) / SCORE_STEPS
+
+
 def _raise_setting(spark: SparkSession, key: str, value: int) -> None:
     if int(spark.conf.get(key)) < value:
         spark.conf.set(key, str(value))

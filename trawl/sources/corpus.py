@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.keyed import is_small
+from trawl.operators.keyed import BROADCAST_ROWS, is_small
 
 BLOCK_END = "\n</DOC>"
 
@@ -28,7 +28,6 @@ DOCNO_LINE = r"(?md)^<DOCNO>.(.{1,13})"
 TEXT_SECTION = r"(?mds)^<TEXT>[^\n]*\n(.*?)(?:^</TEXT>|\z)"
 
 POSITION = ["file", "start", "seq"]
-CONTESTED_ROWS = 100_000
 
 
 def block_docno(block: Column) -> Column:
@@ -94,13 +93,13 @@ def keep_documents(blocks: DataFrame) -> DataFrame:
     gather in one task.
     """
     tails = unclosed_tails(blocks)
-    if is_small(tails, CONTESTED_ROWS):
+    if is_small(tails, BROADCAST_ROWS):
         tails = F.broadcast(tails)
     closed = blocks.where("docno IS NOT NULL").join(tails, POSITION, "left_anti")
     last = F.max(F.struct(*POSITION)).alias("last")
     by_id = closed.groupBy("docno").agg(last, F.count("*").alias("copies"))
     contested = by_id.where("copies > 1").select("docno", "last")
-    if is_small(contested, CONTESTED_ROWS):
+    if is_small(contested, BROADCAST_ROWS):
         kept = closed.join(F.broadcast(contested), "docno", "left").where(
             F.col("last").isNull() | (F.col("last") == F.struct(*POSITION))
         )

@@ -69,17 +69,25 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(F.col("item_id").cast("int").alias("qid"), "text")
 
 
-def tagged_files(spark: SparkSession, sf_dir: str) -> str:
-    """The documents written as a directory of tagged text files."""
+def tagged_files(spark: SparkSession, sf_dir: str, versions: int = 1) -> str:
+    """The documents written as a directory of tagged text files.
 
-    def make(path: str) -> None:
-        block = F.concat(
+    With two versions, every document is preceded by an outdated copy of itself.
+    """
+
+    def block(text: Column) -> Column:
+        return F.concat(
             F.lit("<DOC>\n<DOCNO> "), F.col("docno"), F.lit(" </DOCNO>\n<TEXT>\n"),
-            F.col("text"), F.lit("\n</TEXT>\n</DOC>"),
+            text, F.lit("\n</TEXT>\n</DOC>"),
         )
-        raw_documents(spark, sf_dir).select(block.alias("value")).write.text(path)
 
-    return made_once(spark, sf_dir, "tagged", make)
+    def make(path: str) -> None:
+        text = F.col("text")
+        outdated = [block(F.concat(F.lit("outdated\n"), text))] * (versions - 1)
+        blocks = F.concat_ws("\n", *outdated, block(text))
+        raw_documents(spark, sf_dir).select(blocks.alias("value")).write.text(path)
+
+    return made_once(spark, sf_dir, f"tagged{versions}", make)
 
 
 def topic_file(spark: SparkSession, sf_dir: str) -> str:

@@ -293,8 +293,16 @@ def _retrieved(model: str, k: int) -> str:
 
 _FEATURE_COLUMNS = 'qid, docno, "DL", "JM", tf_idf, laplace, okapi_bm, okapi_tf, sum_df, sum_tf, sum_ttf'
 
+_RUN_LINES = _with(
+    ["dense"],
+    "SELECT model, qid || ' Q0 ' || docno || ' ' || rank || ' '"
+    " || score::decimal(18, 6)::varchar || ' Exp' AS line"
+    f" FROM ({_ranked(_ALL_SCORES, RUN_DEPTH, 'model, qid')})",
+)
+
 ORACLE: dict[str, str] = {
     "ingest_tagged": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
+    "ingest_upsert": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
     "topic_parse": (
         f"SELECT item_id::integer AS qid, {_clean_topic('part')} AS text FROM (SELECT item_id,"
         f" string_split(item_id || '.' || {_PREAMBLE} || replace(text, chr(10), ' '), '.')[2]"
@@ -348,12 +356,8 @@ ORACLE: dict[str, str] = {
     "retrieve_jm": _retrieved("jm", TOP_K),
     "retrieve_all_models": _with(["kept"], "SELECT qid, docno, model, score, rank FROM kept"),
     "custom_scorer": _retrieved("damped", RUN_DEPTH),
-    "run_lines": _with(
-        ["dense"],
-        "SELECT model, qid || ' Q0 ' || docno || ' ' || rank || ' '"
-        " || score::decimal(18, 6)::varchar || ' Exp' AS line"
-        f" FROM ({_ranked(_ALL_SCORES, RUN_DEPTH, 'model, qid')})",
-    ),
+    "run_lines": _RUN_LINES,
+    "run_files": _RUN_LINES,
     "judged_only": _with(
         ["lengths", "qrels"],
         "SELECT docno, dl AS doclength FROM lengths WHERE docno IN (SELECT docno FROM qrels)",

@@ -26,8 +26,9 @@ from trawl.operators.splitting import test_topics, train_topics
 from trawl.plans.indexing import load_corpus
 from trawl.plans.learning import split_features
 from trawl.plans.retrieval import retrieve, weighed_terms
-from trawl.sinks.runfiles import run_line
+from trawl.sinks.runfiles import run_line, write_runs
 from trawl.sources.lists import read_qrels, read_topics
+from trawl.storage import scratch_path
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,12 @@ def ingest_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_documents(raw, fx.STOP_WORDS)
 
 
+def ingest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document twice in the files; the later copy is the one kept."""
+    raw = load_corpus(spark, fx.tagged_files(spark, sf_dir, versions=2))
+    return clean_documents(raw, fx.STOP_WORDS)
+
+
 def judged_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = fx.qrels(spark, sf_dir)
     raw = load_corpus(spark, fx.tagged_files(spark, sf_dir), only=judged)
@@ -176,13 +183,22 @@ def run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("model", run_line(score).alias("line"))
 
 
+def run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run lines, written as run files and read back."""
+    hits = retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir), k=RUN_DEPTH)
+    path = scratch_path(spark, "runs")
+    exact = hits.withColumn("score", F.col("score").cast("decimal(18,6)"))
+    write_runs(exact, path, ["model"], "score")
+    return spark.read.text(path).select("model", F.col("value").alias("line"))
+
+
 def topic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return test_topics(fx.topics(spark, sf_dir), fx.SEED)
 
 
 def train_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = fx.topics(spark, sf_dir)
-    return train_topics(items, test_topics(items, fx.SEED))
+    return train_topics(items, test_topics(items, fx.SEED)).orderBy("qid")
 
 
 def judged_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,6 +229,7 @@ def ranked_by(learner: str, split: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "ingest_tagged": ingest_tagged,
+    "ingest_upsert": ingest_upsert,
     "topic_parse": topic_parse,
     "qrels_parse": qrels_parse,
     "browse_docs": browse_docs,
@@ -238,6 +255,7 @@ QUERIES: dict[str, Query] = {
     "retrieve_all_models": retrieve_all_models,
     "custom_scorer": custom_scorer,
     "run_lines": run_lines,
+    "run_files": run_files,
     "judged_only": judged_only,
     "topic_split": topic_split,
     "train_topics": train_split,
