@@ -3,7 +3,7 @@ import re
 import pytest
 from small import make_index, make_topics
 
-from trawl import open_index
+from trawl import open_index, update_index
 from trawl.operators import postings as postings_module
 from trawl.operators.postings import (
     approximate_vocabulary,
@@ -11,6 +11,7 @@ from trawl.operators.postings import (
     build_postings,
     term_vectors,
 )
+from trawl.plans import indexing
 from trawl.plans.indexing import forget_index, index_corpus
 from trawl.plans.retrieval import MODELS, score, weighed_terms
 
@@ -117,3 +118,20 @@ def test_index_of_tagged_files(spark, tmp_path, rows):
         ("AP890101-0001", 2), ("AP890101-0002", 0),
     ]
     assert rows(index.terms, "term") == [("dog",), ("run",)]
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_update_replaces_and_adds(spark, index, rows, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(indexing, "BROADCAST_ROWS", bound)
+    raw = spark.createDataFrame(
+        [("d1", "grape grape"), ("d5", "apple")], "docno string, text string"
+    )
+    updated = update_index(index, raw, str(tmp_path / "new"))
+    assert rows(updated.documents, "docno", "doclength") == [
+        ("d1", 2), ("d2", 5), ("d3", 2), ("d4", 0), ("d5", 1),
+    ]
+    assert ("apple", 2, 2) in rows(updated.terms) and ("grape", 1, 2) in rows(updated.terms)
+    assert updated.collection().vocab == 7
+    assert "Exchange" not in executed_plan(updated.postings.groupBy("docno").count())
+    with pytest.raises(ValueError):
+        update_index(index, raw, index.path)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from trawl import schemas
 from trawl.functions.scoring import Collection
+from trawl.operators.keyed import BROADCAST_ROWS, is_small
 from trawl.operators.postings import (
     build_postings,
     clean_documents,
@@ -73,12 +74,32 @@ def build_index(
         build_postings(documents, stop_words, stem),
         path, "postings", buckets, "docno", "term",
     )
-    settings = spark.range(1).select(
-        F.lit(buckets).alias("buckets"),
-        F.lit(stem).alias("stem"),
-        F.array(*[F.lit(w) for w in stop_words]).cast("array<string>").alias("stop_words"),
-    )
-    settings.write.mode("overwrite").parquet(f"{path}/settings")
+    _write_settings(spark, path, buckets, stem, stop_words)
+    return refresh_statistics(spark, path)
+
+
+def update_index(index: Index, raw: DataFrame, path: str) -> Index:
+    """Write a new index under ``path``: ``index`` with the ``docno, text`` rows of
+    ``raw`` added, replacing the documents of the same id.
+
+    Only new documents are analyzed. Old documents and postings are filtered in their
+    buckets; files cannot be changed in place, so they are written anew.
+    """
+    if path.rstrip("/") == index.path.rstrip("/"):
+        raise ValueError("an index cannot be updated in its own place")
+    spark, n = index.spark, index.buckets
+    fresh = clean_documents(raw.repartition(n, "docno"), index.stop_words).persist()
+    ids = fresh.select("docno")
+    if is_small(ids, BROADCAST_ROWS):
+        ids = F.broadcast(ids)
+    for table, old, new, sort in (
+        ("documents", index.documents, fresh, "docno"),
+        ("postings", index.postings, build_postings(fresh, index.stop_words, index.stem), "term"),
+    ):
+        kept = old.join(ids, "docno", "left_anti")
+        write_bucketed(kept.unionByName(new), path, table, n, "docno", sort)
+    fresh.unpersist()
+    _write_settings(spark, path, n, index.stem, index.stop_words)
     return refresh_statistics(spark, path)
 
 
@@ -155,6 +176,17 @@ def forget_index(spark: SparkSession, path: str) -> None:
     drop_tables(spark, path, ("documents", "postings"))
 
 
+def _write_settings(
+    spark: SparkSession, path: str, buckets: int, stem: bool, stop_words: list[str]
+) -> None:
+    settings = spark.range(1).select(
+        F.lit(buckets).alias("buckets"),
+        F.lit(stem).alias("stem"),
+        F.array(*[F.lit(w) for w in stop_words]).cast("array<string>").alias("stop_words"),
+    )
+    settings.write.mode("overwrite").parquet(f"{path}/settings")
+
+
 def _settings(spark: SparkSession, path: str):
     return spark.read.parquet(f"{path}/settings").first()
 

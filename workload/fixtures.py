@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl import build_index, open_index
+from trawl import build_index, open_index, update_index
 from trawl.functions.cleaning import TOPIC_PREAMBLES
 from trawl.plans.indexing import Index
 from trawl.plans.learning import feature_table, fit_and_predict, split_features
@@ -63,6 +63,21 @@ def index(spark: SparkSession, sf_dir: str) -> Index:
     return open_index(spark, path)
 
 
+def revised_index(spark: SparkSession, sf_dir: str) -> Index:
+    """The index after every labelled document came in again with a changed text."""
+    labelled = table(spark, sf_dir, "labels").select(
+        docno_of(F.col("doc_id")).alias("docno")
+    )
+    revised = raw_documents(spark, sf_dir).join(labelled, "docno", "left_semi").withColumn(
+        "text", F.concat(F.lit("Revised editions: "), F.col("text"))
+    )
+    path = made_once(
+        spark, sf_dir, "revised",
+        lambda p: update_index(index(spark, sf_dir), revised, p),
+    )
+    return open_index(spark, path)
+
+
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics for retrieval: the whole benchmark text."""
     items = table(spark, sf_dir, "benchmark")

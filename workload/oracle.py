@@ -269,7 +269,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
 }
 
 
-def _with(views: list[str], select: str) -> str:
+def _with(views: list[str], select: str, source: str = "documents") -> str:
     """Prefix ``select`` by the views it needs, each after those it needs itself."""
     ordered: list[str] = []
 
@@ -283,7 +283,9 @@ def _with(views: list[str], select: str) -> str:
         add(view)
     if not ordered:
         return select
-    body = ",\n".join(f"{n} AS ({_VIEWS[n][1]})" for n in ordered)
+    body = ",\n".join(
+        f"{n} AS ({_VIEWS[n][1].replace('FROM documents', f'FROM {source}')})" for n in ordered
+    )
     return f"WITH {body}\n{select}"
 
 
@@ -293,6 +295,11 @@ def _retrieved(model: str, k: int) -> str:
 
 _FEATURE_COLUMNS = 'qid, docno, "DL", "JM", tf_idf, laplace, okapi_bm, okapi_tf, sum_df, sum_tf, sum_ttf'
 
+_REVISED = (
+    "(SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels)"
+    " THEN 'Revised editions: ' || text ELSE text END AS text FROM documents)"
+)
+
 _RUN_LINES = _with(
     ["dense"],
     "SELECT model, qid || ' Q0 ' || docno || ' ' || rank || ' '"
@@ -303,6 +310,10 @@ _RUN_LINES = _with(
 ORACLE: dict[str, str] = {
     "ingest_tagged": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
     "ingest_upsert": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
+    "reindex_lengths": _with(
+        ["lengths"], "SELECT docno, dl AS doclength FROM lengths", _REVISED
+    ),
+    "reindex_term_stats": _with(["terms"], "SELECT term, df, ttf FROM terms", _REVISED),
     "topic_parse": (
         f"SELECT item_id::integer AS qid, {_clean_topic('part')} AS text FROM (SELECT item_id,"
         f" string_split(item_id || '.' || {_PREAMBLE} || replace(text, chr(10), ' '), '.')[2]"

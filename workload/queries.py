@@ -48,6 +48,14 @@ def ingest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_documents(raw, fx.STOP_WORDS)
 
 
+def reindex_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.revised_index(spark, sf_dir).documents.select("docno", "doclength")
+
+
+def reindex_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.revised_index(spark, sf_dir).terms
+
+
 def judged_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = fx.qrels(spark, sf_dir)
     raw = load_corpus(spark, fx.tagged_files(spark, sf_dir), only=judged)
@@ -230,6 +238,8 @@ def ranked_by(learner: str, split: str) -> Query:
 QUERIES: dict[str, Query] = {
     "ingest_tagged": ingest_tagged,
     "ingest_upsert": ingest_upsert,
+    "reindex_lengths": reindex_lengths,
+    "reindex_term_stats": reindex_term_stats,
     "topic_parse": topic_parse,
     "qrels_parse": qrels_parse,
     "browse_docs": browse_docs,
