@@ -1,3 +1,4 @@
+import random
 import string
 
 from pyspark.sql import functions as F
@@ -58,3 +59,30 @@ def test_token_count(spark):
 
 def test_any_whitespace_separates(spark):
     assert apply(spark, clean_document, "\ta\x0bb\r\n c ", []) == "a b c"
+
+
+def test_random_texts_against_plain_python(spark):
+    draw = random.Random(11)
+    pieces = ["the", "The", "of", "cat", "É", *string.punctuation, " ", "  ", "\n", "\t"]
+    texts = ["".join(draw.choices(pieces, k=draw.randrange(0, 30))) for _ in range(400)]
+    stop = ["the", "of"]
+
+    def without_stop(text):
+        return " ".join("" if w in stop else w for w in text.split())
+
+    def blanked(text, kept):
+        return "".join(" " if c in string.punctuation and c not in kept else c for c in text)
+
+    def document(text):
+        return blanked(without_stop(text).lower(), "_-'").replace("  ", " ")
+
+    def topic(text):
+        return without_stop(blanked(text, "_-")).replace("  ", " ").lower()
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for row in frame.select(
+        "i",
+        clean_document(F.col("t"), stop).alias("d"),
+        clean_topic(F.col("t"), stop).alias("q"),
+    ).collect():
+        assert (row.d, row.q) == (document(texts[row.i]), topic(texts[row.i]))

@@ -29,3 +29,18 @@ def test_qrels_take_any_blanks_and_the_last_label(spark, tmp_path, rows):
     )
     qrels = lists.read_qrels(spark, str(tmp_path / "qrels"))
     assert rows(qrels) == [(51, "AP1", 1), (51, "AP2", 1), (52, "AP1", 0)]
+
+
+def test_the_last_label_wins_across_splits_of_a_large_file(spark, tmp_path, rows):
+    (tmp_path / "qrels").write_text(
+        "".join(f"{51 + i % 3} 0 AP{i % 7} {i}\n" for i in range(3000))
+    )
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        qrels = lists.read_qrels(spark, str(tmp_path / "qrels"))
+        got = rows(qrels)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+    last = {(51 + i % 3, f"AP{i % 7}"): i for i in range(3000)}
+    assert got == sorted((q, d, i) for (q, d), i in last.items())

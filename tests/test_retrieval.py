@@ -115,3 +115,7 @@ def test_smoothing_weight_is_a_parameter(spark, index):
 
 def test_all_models_have_scorers():
     assert [scorer(m).name for m in MODELS] == list(MODELS)
+
+
+def test_topics_without_known_terms_give_nothing(spark, index):
+    assert retrieve(index, make_topics(spark, {3: "zebra", 4: ""})).count() == 0

@@ -41,6 +41,12 @@ def score(index: Index, weighed: DataFrame, models: Sequence[str | Scorer]) -> D
     return score_pairs(matches, scorers, collection)
 
 
+def scoring_tasks(index: Index) -> int:
+    """Upper bound of the tasks that scored candidates come from."""
+    shuffled = int(index.spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(index.buckets, shuffled)
+
+
 def retrieve(
     index: Index,
     topics: DataFrame,
@@ -53,4 +59,4 @@ def retrieve(
     """
     names = [m if isinstance(m, str) else m.name for m in models]
     scored = score(index, weighed_terms(index, topics), models)
-    return rank_hits(scored, names, k, parts=index.buckets)
+    return rank_hits(scored, names, k, parts=scoring_tasks(index))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from trawl.functions.analysis import analyze, strip_possessive, words
 from trawl.functions.scoring import Scorer
 from trawl.functions.stemming import stem_words
 from trawl.operators.features import matched_term_sums, pair_lengths
+from trawl.operators.learning import LEARNERS
 from trawl.operators.postings import (
     approximate_vocabulary,
     build_positions,
@@ -22,7 +24,7 @@ from trawl.operators.postings import (
     topic_terms,
 )
 from trawl.operators.scoring import candidates, match_postings, rank_all
-from trawl.operators.splitting import test_topics, train_topics
+from trawl.operators.splitting import held_out_topics, train_topics
 from trawl.plans.indexing import load_corpus
 from trawl.plans.learning import split_features
 from trawl.plans.retrieval import retrieve, weighed_terms
@@ -201,12 +203,12 @@ def run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return test_topics(fx.topics(spark, sf_dir), fx.SEED)
+    return held_out_topics(fx.topics(spark, sf_dir), fx.SEED)
 
 
 def train_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = fx.topics(spark, sf_dir)
-    return train_topics(items, test_topics(items, fx.SEED)).orderBy("qid")
+    return train_topics(items, held_out_topics(items, fx.SEED)).orderBy("qid")
 
 
 def judged_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +237,19 @@ def ranked_by(learner: str, split: str) -> Query:
     return query
 
 
+def ltr_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run files of every learner and split, written and read back."""
+    rows = reduce(
+        DataFrame.unionByName,
+        [fx.predictions(spark, sf_dir, learner) for learner in LEARNERS],
+    )
+    by = ["learner", "split"]
+    buckets = fx.index(spark, sf_dir).buckets
+    path = scratch_path(spark, "learned-runs")
+    write_runs(rank_all(rows, [*by, "qid"], "prediction", buckets), path, by, "prediction")
+    return spark.read.text(path).select(*by, F.col("value").alias("line"))
+
+
 QUERIES: dict[str, Query] = {
     "ingest_tagged": ingest_tagged,
     "ingest_upsert": ingest_upsert,
@@ -278,4 +293,5 @@ QUERIES: dict[str, Query] = {
     "ltr_rf_regressor_train": ranked_by("rf_regressor", "train"),
     "ltr_linear_test": ranked_by("linear", "test"),
     "ltr_linear_train": ranked_by("linear", "train"),
+    "ltr_run_files": ltr_run_files,
 }
