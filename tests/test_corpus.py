@@ -79,12 +79,13 @@ def test_last_copy_of_an_id_wins(spark, tmp_path, monkeypatch, bound):
     assert load(spark, path) == {ID(1): "last ", ID(2): "b ", ID(3): "c "}
 
 
-def test_a_large_file_is_split_without_losing_blocks(spark, tmp_path):
+@pytest.mark.parametrize("split_bytes", ["997", "2048", "4096"])
+def test_a_large_file_is_split_without_losing_blocks(spark, tmp_path, split_bytes):
     n = 400
     content = "".join(block(f"AP{i:011}", f"word{i} " * (i % 37)) for i in range(n))
     path = write(tmp_path / "c", "f1", content + block("AP99999999999", "open", end="\n"))
     default = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     try:
         blocks = corpus.read_blocks(spark, path)
         assert blocks.rdd.getNumPartitions() > 4

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from small import make_index, make_topics
 
 from trawl import open_index, update_index
@@ -11,6 +12,7 @@ from trawl.operators.postings import (
     build_postings,
     term_vectors,
 )
+from trawl.operators.scoring import bucket_of
 from trawl.plans import indexing
 from trawl.plans.indexing import forget_index, index_corpus
 from trawl.plans.retrieval import MODELS, score, weighed_terms
@@ -79,6 +81,16 @@ def test_an_index_reopens_after_its_tables_were_forgotten(spark, index, rows):
     assert "Exchange" not in plan
 
 
+def test_slices_are_made_of_whole_buckets(index):
+    name = F.col("_metadata.file_name")
+    found = index.documents.select(
+        bucket_of("docno", index.buckets).alias("computed"),
+        F.regexp_extract(name, r"_(\d+)\.c\d+", 1).cast("int").alias("written"),
+    ).collect()
+    assert len({r.written for r in found}) > 1
+    assert all(r.computed == r.written for r in found)
+
+
 def test_postings_need_no_shuffle(index):
     plan = executed_plan(build_postings(index.documents, []))
     assert "Exchange" not in plan

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Most rows of a narrow table that are sent to every executor, about 100 MB there.
@@ -14,6 +14,11 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+def parts_for(spark: SparkSession, rows: int, rows_per_part: int) -> int:
+    """Enough parts for their size, and at least one for each core."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_part))
+
+
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key in ``order``.
 

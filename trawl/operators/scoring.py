@@ -113,20 +113,26 @@ def score_pairs(
     )
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket that a table hash-bucketed by ``key`` keeps a row in."""
+    return F.pmod(F.hash(key), F.lit(buckets))
+
+
 def rank_hits(scored: DataFrame, models: list[str], k: int, parts: int = 1) -> DataFrame:
     """Best ``k`` documents per model and topic, zero scores dropped after the cut,
     then ranked without gaps. Equal scores rank by document id.
 
-    Each task keeps at most ``k`` rows per group before the shuffle. With ``parts``
-    tasks one group still receives up to ``parts * k`` rows; when that is too many for
-    one task, a first cut by slices of the document ids comes before the final one.
+    Each task keeps at most ``k`` rows per group before the shuffle. From ``parts``
+    buckets one group still receives up to ``parts * k`` rows; when that is too many for
+    one task, a first cut by slices comes before the final one. A slice is a set of
+    whole buckets, so slicing does not let more rows through the first shuffle.
     """
     _raise_setting(scored.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold", k)
     hits = scored.unpivot(["qid", "docno"], models, "model", "score")
     order = [F.desc("score"), F.asc("docno")]
     if parts * k > TOP_K_GROUP_ROWS:
         slices = math.isqrt(parts) + 1
-        hits = hits.withColumn("slice", F.pmod(F.xxhash64("docno"), F.lit(slices)))
+        hits = hits.withColumn("slice", F.pmod(bucket_of("docno", parts), F.lit(slices)))
         by_slice = Window.partitionBy("model", "qid", "slice").orderBy(*order)
         hits = hits.withColumn("rank", F.row_number().over(by_slice))
         hits = hits.where(F.col("rank") <= k).drop("rank", "slice")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from trawl import schemas
 from trawl.functions.scoring import Collection
-from trawl.operators.keyed import BROADCAST_ROWS, is_small
+from trawl.operators.keyed import BROADCAST_ROWS, is_small, parts_for
 from trawl.operators.postings import (
     build_postings,
     clean_documents,
@@ -27,6 +27,8 @@ from trawl.operators.postings import (
 from trawl.sources.corpus import keep_documents, read_blocks
 from trawl.storage import drop_tables, open_bucketed, scratch_path, write_bucketed
 
+DOCUMENTS_PER_BUCKET = 500_000
+
 
 @dataclass(frozen=True)
 class Index:
@@ -61,11 +63,11 @@ def build_index(
     """Index ``docno, text`` rows with unique ids under ``path``.
 
     ``buckets`` sets the size of every later task on documents or postings; aim at
-    about a gigabyte of postings each. It defaults to the session's number of shuffle
-    partitions.
+    about a gigabyte of postings each. By default it follows from the number of
+    documents and of cores.
     """
     spark = raw.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or parts_for(spark, raw.count(), DOCUMENTS_PER_BUCKET)
     documents = write_bucketed(
         clean_documents(raw.repartition(buckets, "docno"), stop_words),
         path, "documents", buckets, "docno", "docno",
