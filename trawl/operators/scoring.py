@@ -38,17 +38,21 @@ def restrict_to_terms(postings: DataFrame, weighed: DataFrame) -> DataFrame:
     return postings.where(F.col("term").isin(wanted))
 
 
-def match_postings(postings: DataFrame, weighed: DataFrame) -> DataFrame:
-    """Postings of the topic terms, one row per (topic, document, matched term).
+def match_postings(
+    postings: DataFrame, weighed: DataFrame, side: DataFrame | None = None
+) -> DataFrame:
+    """Postings of the topic terms, one row per (topic, document, matched term), with
+    the columns of ``side``: ``weighed`` itself or the same rows with more columns.
 
     The topic side is broadcast after a count, which keeps the postings where they are
     and their partitioning by document. A topic side too large for that is joined by a
     shuffle on the term, with the postings of every term spread over salts because the
     frequent terms hold most of them.
     """
+    side = weighed if side is None else side
     if is_small(weighed, BROADCAST_ROWS):
-        return restrict_to_terms(postings, weighed).join(F.broadcast(weighed), "term")
-    return salted_match(postings, weighed)
+        return restrict_to_terms(postings, weighed).join(F.broadcast(side), "term")
+    return salted_match(postings, side)
 
 
 def salted_match(postings: DataFrame, weighed: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -80,12 +84,15 @@ def with_topic_sums(
 
     They ride along with the matches, so nothing is joined by topic after scoring.
     """
-    sums = [
-        F.sum(s.topic(collection)).alias(f"t_{s.name}")
-        for s in scorers
-        if s.topic is not None
-    ]
-    return weighed.join(weighed.groupBy("qid").agg(*sums), "qid") if sums else weighed
+    topic = Window.partitionBy("qid")
+    return weighed.select(
+        "*",
+        *[
+            F.sum(s.topic(collection)).over(topic).alias(f"t_{s.name}")
+            for s in scorers
+            if s.topic is not None
+        ],
+    )
 
 
 def score_pairs(

@@ -36,7 +36,7 @@ def score(index: Index, weighed: DataFrame, models: Sequence[str | Scorer]) -> D
     scorers = [m if isinstance(m, Scorer) else scorer(m) for m in models]
     collection = index.collection()
     matches = match_postings(
-        index.postings, with_topic_sums(weighed, scorers, collection)
+        index.postings, weighed, with_topic_sums(weighed, scorers, collection)
     )
     return score_pairs(matches, scorers, collection)
 

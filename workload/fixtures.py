@@ -141,6 +141,14 @@ def judged_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pooled.unionByName(assigned.select("qid", "docno", "label")).distinct()
 
 
+def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = made_once(
+        spark, sf_dir, "qrels",
+        lambda p: judged_pairs(spark, sf_dir).write.parquet(p),
+    )
+    return spark.read.parquet(path)
+
+
 def qrels_file(spark: SparkSession, sf_dir: str) -> str:
     """The judgements as ``qid 0 docno label`` lines."""
 
@@ -149,19 +157,11 @@ def qrels_file(spark: SparkSession, sf_dir: str) -> str:
             " ", F.col("qid").cast("string"), F.lit("0"), F.col("docno"),
             F.col("label").cast("string"),
         )
-        judged_pairs(spark, sf_dir).select(line.alias("value")).write.text(path)
+        qrels(spark, sf_dir).select(line.alias("value")).write.text(path)
 
     return made_once(spark, sf_dir, "qrels-text", make)
 
 
-def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = made_once(
-        spark, sf_dir, "qrels",
-        lambda p: judged_pairs(spark, sf_dir).write.parquet(p),
-    )
-    return spark.read.parquet(path)
-
-
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make(path: str) -> None:
         table = feature_table(
