@@ -55,9 +55,11 @@ def test_equal_scores_rank_by_document_id(spark, tmp_path):
     assert [r.docno for r in hits.orderBy("rank").collect()] == ["a", "b"]
 
 
-def test_salted_matching_gives_the_same_scores(spark, index, monkeypatch):
+@pytest.mark.parametrize("salt_rows", [1, 5_000_000])
+def test_salted_matching_gives_the_same_scores(spark, index, monkeypatch, salt_rows):
     topics = make_topics(spark)
     expected = as_dict(retrieve(index, topics))
+    monkeypatch.setattr(scoring, "SALT_ROWS", salt_rows)
     monkeypatch.setattr(scoring, "BROADCAST_ROWS", 0)
     got = as_dict(retrieve(index, topics))
     assert got.keys() == expected.keys()

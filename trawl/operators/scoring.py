@@ -12,7 +12,7 @@ from trawl.operators.keyed import BROADCAST_ROWS, is_small
 from trawl.storage import scratch_path
 
 PUSHED_TERMS = 500
-SALTS = 64
+SALT_ROWS = 5_000_000
 TOP_K_GROUP_ROWS = 2_000_000
 # Scores are rounded so that equal documents tie whatever the order of summation.
 SCORE_STEPS = 1e6
@@ -55,12 +55,22 @@ def match_postings(
     return salted_match(postings, side)
 
 
-def salted_match(postings: DataFrame, weighed: DataFrame, salts: int = SALTS) -> DataFrame:
-    spread = postings.withColumn("salt", F.pmod(F.xxhash64("docno"), F.lit(salts)))
+def salted_match(postings: DataFrame, weighed: DataFrame) -> DataFrame:
+    """Shuffle join on (term, salt): a term gets one salt per ``SALT_ROWS`` postings.
+
+    The terms with more than one salt are broadcast to the postings. There can be no
+    more of them than all postings divided by ``SALT_ROWS``.
+    """
+    salts = F.ceil(F.col("df") / SALT_ROWS)
+    frequent = weighed.where(F.col("df") > SALT_ROWS).select("term", salts.alias("salts"))
+    spread = postings.join(F.broadcast(frequent.distinct()), "term", "left").withColumn(
+        "salt",
+        F.coalesce(F.pmod(F.xxhash64("docno"), "salts"), F.lit(0).cast("long")),
+    )
     copies = weighed.withColumn(
-        "salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)]))
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1))
     )
-    return spread.join(copies, ["term", "salt"]).drop("salt")
+    return spread.drop("salts").join(copies, ["term", "salt"]).drop("salt")
 
 
 def candidates(matches: DataFrame) -> DataFrame:
