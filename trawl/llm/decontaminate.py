@@ -164,8 +164,9 @@ def contamination(
     """
     grams = item_grams(items, options.get("item_col", "item_id"), options.get("item_text", "text"), options.get("window", WINDOW))
     marked = mark_hits(docs, items, text_col=text_col, **options)
-    named = marked.select(
-        F.monotonically_increasing_id().alias("__row"), F.col(doc_col), "n_words", "n_hit",
+    # The id is given below the explosion: in one select it would number the exploded rows.
+    named = marked.withColumn("__row", F.monotonically_increasing_id()).select(
+        "__row", F.col(doc_col), "n_words", "n_hit",
         F.explode_outer(F.array_distinct(F.transform("hits", lambda h: F.concat_ws(" ", F.slice("words", h["start"], h["length"]))))).alias("gram"),
     )
     few = grams.count() <= options.get("set_grams", SET_GRAMS)
