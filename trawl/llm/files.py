@@ -18,14 +18,14 @@ def new_file(folder: str, name: str) -> Iterator:
     system, root = fs.FileSystem.from_uri(folder)
     system.create_dir(root, recursive=True)
     temporary = f"{root}/.{name}.{TaskContext.get().taskAttemptId()}"
-    with system.open_output_stream(temporary) as out:
+    with system.open_output_stream(temporary, compression=None) as out:
         yield out
     system.move(temporary, f"{root}/{name}")
 
 
 def open_stream(path: str):
     system, place = fs.FileSystem.from_uri(path)
-    return system.open_input_stream(place)
+    return system.open_input_stream(place, compression=None)  # the caller unzips it
 
 
 def open_random(path: str):

@@ -36,6 +36,8 @@ LEAST_COSINE = 0.95
 PER_LIST, MOST_LISTS, SAMPLED = 1000, 4096, 32
 SUBSPACE, CODES = 8, 128
 BLOCK = 2048
+# Candidate pairs whose cosine is taken at once; their vectors are copied for it.
+RERANKED = 1 << 16
 REACH = 4.0
 
 
@@ -157,10 +159,12 @@ def _search(model: Quantiser, least: float):
                 part = query[at : at + 256]
                 close = model.table_distances(part, which, codes) <= model.radius + error + 1e-9
                 i, j = np.nonzero(close & (query_ids[at : at + 256, None] != stock_ids))
-                cosine = np.einsum("ij,ij->i", part[i], stock[j])
-                lefts.append(i[cosine >= least] + at)
-                rights.append(j[cosine >= least])
-            left, right = np.concatenate(lefts), np.concatenate(rights)
+                for k in range(0, len(i), RERANKED):
+                    one, two = i[k : k + RERANKED], j[k : k + RERANKED]
+                    linked = np.einsum("ij,ij->i", part[one], stock[two]) >= least
+                    lefts.append(one[linked] + at)
+                    rights.append(two[linked])
+            left, right = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (lefts, rights))
             links = np.bincount(left, number[right], len(query)).astype(np.int64)
             counts = {int(query_ids[i]): int(links[i]) for i in np.flatnonzero(links)}
             nodes, place = np.unique(np.concatenate([query_ids, stock_ids]), return_inverse=True)

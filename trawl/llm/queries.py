@@ -5,12 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import chat, decontaminate, language, quality
+from trawl.llm import chat, decontaminate, jaccard, language, near_vectors, packing, pitman_yor, quality, token_files, warc
 from trawl.llm.common import fold, table
+from trawl.storage import scratch_path
 
+TOKENIZER = "byte_bpe_50k.json"
 EXTRA_CONVERSATION = "<|im_end|><|im_start|>assistant ok"
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
+
+
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql(
         "SELECT -1L AS conv_id, id AS turn, IF(id = 0, 'user', 'assistant') AS role, "
@@ -29,6 +41,18 @@ def op2_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arcs = warc.write_arcs(table(spark, sf_dir, "pages"), scratch_path(spark, "arc"))
+    warcs = warc.convert(arcs, scratch_path(spark, "warc"))
+    records = warc.resolve_revisits(warc.read_warcs(warcs, payloads=False))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = language.fit(docs.where(fold("doc_id", 4) != 2))
@@ -36,6 +60,17 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), network).drop("text")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    shards = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path())
+    back = token_files.read_token_files(spark, folder, shards)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
@@ -54,9 +89,19 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.fit_and_score(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+
+
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_chat_round_trip": op2_chat_round_trip,
+    "op3_packing": op3_packing,
+    "op4_warc": op4_warc,
     "op5_language": op5_language,
+    "op6_jaccard": op6_jaccard,
+    "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
+    "op10_pitman_yor": op10_pitman_yor,
 }
