@@ -34,7 +34,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     It cuts lineage: a lost executor costs its running tasks, not earlier stages.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -74,21 +74,25 @@ def _with_words(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _hits_by_set(docs: DataFrame, grams: list, text_col: str) -> DataFrame:
-    """Hits found in place, with the n-grams as a hash set inside the expression."""
+    """Hits found in place, with the n-grams as a hash set inside the expression.
+
+    The words are bound to a lambda variable: a filter on the hits that is pushed below the
+    projection then splits the text once, not at every window.
+    """
     found = []
     for length in sorted({g["length"] for g in grams}):
         own = [g for g in grams if g["length"] == length]
         hashes, texts = _literals(sorted({g["hash"] for g in own}), False), _literals(sorted(g["gram"] for g in own), True)
-        starts = f"sequence(1, greatest(size(words) - {length - 1}, 1))"
+        starts = f"sequence(1, greatest(size(ws) - {length - 1}, 1))"
         found.append(
-            f"CASE WHEN size(words) >= {length} THEN transform(filter(filter({starts}, "
-            f"i -> xxhash64(slice(words, i, {length})) IN ({hashes})), "
-            f"i -> concat_ws(' ', slice(words, i, {length})) IN ({texts})), "
+            f"CASE WHEN size(ws) >= {length} THEN transform(filter(filter({starts}, "
+            f"i -> xxhash64(slice(ws, i, {length})) IN ({hashes})), "
+            f"i -> concat_ws(' ', slice(ws, i, {length})) IN ({texts})), "
             f"i -> struct(i AS start, {length} AS length)) "
             "ELSE array() END"
         )
     empty = "CAST(array() AS ARRAY<STRUCT<start: INT, length: INT>>)"
-    hits = f"sort_array(concat({empty}, {', '.join(found)}))" if found else empty
+    hits = f"element_at(transform(array(words), ws -> sort_array(concat({empty}, {', '.join(found)}))), 1)" if found else empty
     return _with_words(docs, text_col).withColumn("hits", F.expr(hits))
 
 

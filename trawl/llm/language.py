@@ -26,6 +26,8 @@ from trawl.llm.common import bounded_sample
 UNKNOWN = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
+# Least probability of the language of a document that is kept.
+LEAST = 0.5
 # Windows scored at once: their activations take about 30 MB.
 BLOCK = 1024
 
@@ -226,3 +228,12 @@ def predict(docs: DataFrame, network: ByteNetwork | None, text_col: str = "text"
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score") or c == text_col]
     return docs.select(*kept, guess(F.col(text_col)).alias("__guess")).select(*kept, "__guess.lang_pred", "__guess.score")
+
+
+def keep_identified(docs: DataFrame, network: ByteNetwork | None, text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """The documents whose language is told with a probability of ``least`` or more.
+
+    Text without a letter is rejected; without a network nothing can be told.
+    """
+    told = predict(docs.select("*", F.col(text_col).alias("__text")), network, "__text")
+    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)

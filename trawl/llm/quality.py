@@ -261,3 +261,9 @@ def score(docs: DataFrame, field: LineField, text_col: str = "text") -> DataFram
 
     kept = [c for c in docs.columns if c != "score" or c == text_col]
     return docs.select(*kept, quality(F.col(text_col)).alias("score"))
+
+
+def keep_good(docs: DataFrame, field: LineField, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The documents with a score of ``least`` or more, with their own columns."""
+    scored = score(docs.select("*", F.col(text_col).alias("__text")), field, "__text")
+    return scored.where(F.col("score") >= least).select(*docs.columns)
