@@ -59,7 +59,66 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+# Every link is followed from each smaller node, so the least node that reaches a node names it.
+REACHED = """
+reach(node, top) AS (
+    SELECT node, node FROM nodes
+    UNION SELECT p.b, r.top FROM reach r JOIN pairs p ON p.a = r.node WHERE r.top < p.b
+),
+tops AS (SELECT node, min(top) AS component_id FROM reach GROUP BY node)
+"""
+
+VECTORS = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+pairs AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+),
+nodes AS (SELECT vec_id AS node FROM embeddings),
+{REACHED}
+SELECT node AS vec_id, (SELECT count(*) FROM pairs WHERE a = node) AS n_links, component_id, node = component_id AS kept FROM tops
+"""
+
+ARCHIVES = """
+WITH paid AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+sized AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM paid),
+owned AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS owner FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN owner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN owner <> page_id THEN owner END AS refers_to
+FROM owned
+"""
+
+SHINGLES = rf"""
+WITH RECURSIVE parts AS (
+    SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+spread AS (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM parts WHERE len(w) > 0
+),
+shingles AS MATERIALIZED (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 2], ' '), least(len(w), 3)) AS shingle FROM spread),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+counted AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+pairs AS MATERIALIZED (
+    SELECT a, b FROM counted JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * common >= 90 * (p.n + q.n - common)
+),
+nodes AS (SELECT doc_id AS node FROM documents),
+{REACHED}
+SELECT node AS doc_id, coalesce(n, 0) AS n_shingles, component_id FROM tops LEFT JOIN sizes ON doc_id = node
+"""
+
 ORACLE = {
+    "op1_near_vectors": VECTORS,
+    "op4_warc": ARCHIVES,
+    "op6_jaccard": SHINGLES,
     "op2_chat_round_trip": CHAT,
     "op9_decontaminate": CONTAMINATION,
 }
