@@ -15,8 +15,15 @@ fixed order, where sets are joined when one segment equals the other with one sh
 removed. Sum of allocations > H, so no pair is lost. Sets with too many heavy segments
 for that stay in their heavy buckets.
 
-Every pair is verified on the shingle sets of the whole texts. Equal sets are grouped by a
-128-bit digest beforehand, and equal sets within a task send their signatures once.
+A pair is tried on sketches first: the parity of the number of shingles in each of about
+as many cells as the set has shingles. Cells of odd difference are no more than the
+shingles that differ, so a pair with more of them than similarity allows is none, and no
+similar pair is lost. What remains is verified on the shingle sets of the whole texts.
+Equal sets are grouped by a 128-bit digest beforehand, and equal sets within a task send
+their signatures once.
+
+Signatures are shuffled once and read in order, so a bucket is never held as a whole. A set
+has one row in a bucket, so no bucket can have more than a small part of all rows.
 
 Defined cases: null text, empty text or text without a word has an empty set and no links;
 fewer words than a shingle are one shingle; repeated rows are equal sets; rows with a null
@@ -30,6 +37,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +50,9 @@ HEAVY = 32
 # Most ids (8 bytes each) broadcast to pick the texts to verify; beyond it, a shuffle.
 BROADCAST_IDS = 500_000
 CACHED_WORDS = 300_000
+# Signatures keep 48 bits: chance meetings are rare and are verified.
+SIGNATURE = (1 << 48) - 1
+LEAST_CELLS = 64
 U = np.uint64
 
 
@@ -97,6 +108,12 @@ class Rule:
         common = len(np.intersect1d(a, b, assume_unique=True))
         return common > 0 and self.den * common >= self.num * (len(a) + len(b) - common)
 
+    def most_apart(self, a: int, b: int) -> int:
+        """The most shingles in which similar sets of these sizes differ; -1: not similar."""
+        if min(a, b) * self.den < max(a, b) * self.num:
+            return -1
+        return (a + b) * (self.den - self.num) // (self.den + self.num)
+
     def instances(self, size: int) -> list[tuple[int, int]]:
         """The (band, segments) under which a set of this size is indexed."""
         band = int(np.searchsorted(self.edges, size, side="right")) - 1
@@ -120,7 +137,7 @@ def segment_sums(shingles: np.ndarray, segments: int) -> tuple[np.ndarray, np.nd
 
 def signature(sums: np.ndarray, counts: np.ndarray, segment: np.ndarray, band: int) -> np.ndarray:
     tag = segment.astype(U) * U(0xD6E8FEB86659FD93) + counts.astype(U) * U(0xA0761D6478BD642F) + U(band)
-    return mix(sums + mix(tag)).view(np.int64)
+    return (mix(sums + mix(tag)) & U(SIGNATURE)).view(np.int64)
 
 
 def signatures(shingles: np.ndarray, rule: Rule) -> np.ndarray:
@@ -154,12 +171,30 @@ def allocated(shingles: np.ndarray, rule: Rule, heavy: set[int]) -> Iterator[tup
             yield from (("less", int(s)) for s in np.unique(less))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parities of the cells; their number is a power of two, so that sketches fold."""
+    cells = max(LEAST_CELLS, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else LEAST_CELLS
+    odd = np.bincount((shingles & U(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def odd_cells(a: bytes, b: bytes) -> int:
+    """Cells in which two sketches differ, the larger one folded to the smaller one's size."""
+    x, y, bits = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * max(len(a), len(b))
+    if len(a) < len(b):
+        x, y = y, x
+    while bits > 8 * min(len(a), len(b)):
+        bits //= 2
+        x = (x >> bits) ^ (x & ((1 << bits) - 1))
+    return (x ^ y).bit_count()
+
+
 def _index(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, sent = WordHashes(), set()
         for batch in batches:
             ids = batch.column("id")
-            sizes, digests, parts, ends = [], [], [], [0]
+            sizes, digests, sketches, parts, ends = [], [], [], [], [0]
             for text in batch.column("text").to_pylist():
                 shingles = rule.shingles(text or "", hashes)
                 digest = xxhash.xxh3_128_digest(shingles.tobytes())
@@ -169,8 +204,40 @@ def _index(rule: Rule):
                 ends.append(ends[-1] + len(parts[-1]))
                 sizes.append(len(shingles))
                 digests.append(digest)
+                sketches.append(sketch(shingles))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], ["id", "size", "digest", "sigs"])
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), lists], ["id", "size", "digest", "sketch", "sigs"])
+
+    return run
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows in order of (sig, id): every row but the first of a bucket, with that one."""
+    last, hub = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sig, ids = batch.column("sig").to_numpy(), batch.column("id")
+        opens = np.concatenate([[last is None or sig[0] != last], sig[1:] != sig[:-1]])
+        first = np.maximum.accumulate(np.where(opens, np.arange(len(sig)), -1))
+        rest = np.flatnonzero(~opens)
+        if len(rest):
+            hubs = ids.take(pa.array(np.maximum(first[rest], 0)))
+            if first[rest[0]] < 0:  # the bucket began in an earlier batch
+                hubs = pc.if_else(pa.array(first[rest] < 0), hub, hubs)
+            yield pa.RecordBatch.from_arrays([batch.column("sig").take(pa.array(rest)), ids.take(pa.array(rest)), hubs], ["sig", "id", "hub"])
+        last = sig[-1]
+        if first[-1] >= 0:
+            hub = ids[int(first[-1])]
+
+
+def _may_be_similar(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("size_a", "size_b", "sketch_a", "sketch_b"))
+            keep = [odd_cells(x, y) <= rule.most_apart(m, n) for m, n, x, y in zip(*columns)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -211,14 +278,17 @@ def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose sets are similar; ``pairs`` is a written table."""
+def verified(pairs: DataFrame, indexed: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, by their sketches first."""
+    left, right = (indexed.select(F.col("id").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
+    schema = pairs.schema
+    pairs = stored(pairs.join(left, "a").join(right, "b").mapInArrow(_may_be_similar(rule), schema).distinct(), "pairs")
     ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
     chosen = stored(_texts_of(texts, ids), "texts")
     left = chosen.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = chosen.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(rule), pairs.schema)
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(rule), schema)
 
 
 def _across(rows: DataFrame, key: str) -> DataFrame:
@@ -235,21 +305,20 @@ def similar_components(
     rule = Rule(words, num, den)
     texts = docs.select(F.col(key).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
     id_type = texts.schema["id"].dataType.simpleString()
-    indexed = stored(texts.mapInArrow(_index(rule), f"id {id_type}, size long, digest binary, sigs array<long>"), "index")
+    indexed = stored(texts.mapInArrow(_index(rule), f"id {id_type}, size long, digest binary, sketch binary, sigs array<long>"), "index")
     filled = indexed.where("size > 0")
     classes = stored(filled.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "classes")
     equal = filled.select("id", "digest").join(classes, "digest").select(F.col("id").alias("a"), F.col("first").alias("b")).where("a <> b")
 
-    entries = indexed.select("id", F.explode("sigs").alias("sig"))
-    shared = stored(entries.groupBy("sig").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("sig", "hub"), "shared")
-    members = stored(entries.join(shared, "sig").where("id <> hub"), "members")
-    stars = stored(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
-    links = stored(equal.union(verified(stars, texts, rule)), "verified")
+    entries = indexed.select("id", F.explode("sigs").alias("sig")).repartition("sig").sortWithinPartitions("sig", "id")
+    members = stored(entries.mapInArrow(_buckets, f"sig long, id {id_type}, hub {id_type}").where("id <> hub"), "members")
+    stars = members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    links = stored(equal.union(verified(stars, indexed, texts, rule)), "verified")
     found = stored(components(links), "components")
 
-    more = stored(_remaining(members, found, texts, rule, heavy_members), "remaining")
-    if not more.isEmpty():
-        late = stored(verified(more, texts, rule), "verified")
+    more = _remaining(members, found, texts, rule, heavy_members)
+    if more is not None:
+        late = stored(verified(more, indexed, texts, rule), "verified")
         if not late.isEmpty():
             found = stored(components(links.union(late)), "components")
     named = indexed.select("id", "size").join(found.withColumnRenamed("node", "id"), "id", "left")
@@ -258,12 +327,14 @@ def similar_components(
     )
 
 
-def _remaining(members: DataFrame, found: DataFrame, texts: DataFrame, rule: Rule, heavy_members: int) -> DataFrame:
-    """Pairs still to be verified: same bucket, different components, neither the hub."""
+def _remaining(members: DataFrame, found: DataFrame, texts: DataFrame, rule: Rule, heavy_members: int) -> DataFrame | None:
+    """Pairs still to be tried: same bucket, different components, neither the hub."""
     tops = found.select(F.col("node").alias("id"), F.col("component").alias("top"))
     ends = members.join(tops, "id", "left").withColumn("top", F.coalesce("top", "id"))
     mixed = stored(ends.groupBy("sig").agg(F.min("top").alias("low"), F.max("top").alias("high"), F.count("*").alias("n"))
                    .where("low <> high").select("sig", "n"), "mixed")
+    if mixed.isEmpty():
+        return None
     open_rows = stored(ends.select("sig", "id", "top").join(mixed, "sig"), "open")
     light = _across(open_rows.where(F.col("n") <= heavy_members), "sig")
     heavy = open_rows.where(F.col("n") > heavy_members)
