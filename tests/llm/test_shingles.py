@@ -101,4 +101,4 @@ def test_size_bands_hold_every_similar_pair():
             for other in range(size, size * den // num + 1):
                 most = size + other - 2 * -(-num * (size + other) // (num + den))
                 shared = set(rule.instances(size)) & set(rule.instances(other))
-                assert most <= 0 or any(segments > most for _, segments in shared)
+                assert most <= 0 or any(segments > differ >= most for _, differ, segments in shared)

@@ -2,16 +2,18 @@
 
 Pairs with similarity at least t differ in at most H shingles, and H is fixed by size
 bands: sizes l .. l/t form a band, and similar sets lie in one band or in neighbours. For
-a band, shingles are hashed into m = H + 1 segments; two similar sets agree on at least one
+a band, shingles are hashed into m > H segments; two similar sets agree on at least one
 whole segment (pigeonhole), so a set is indexed by one signature for each segment, once
-for its own band and once for the band below.
+for its own band and once for the band below. Empty segments are alike in very many sets;
+with a tenth more segments than H most sets have more than H filled ones, one of which
+must agree, and index those alone. A set with fewer indexes its empty segments as well.
 
 Cost-based allocation: signatures held by one set alone cost nothing further. Sets sharing
 one are verified against the bucket's smallest id first; only buckets that still hold
 several components go on. Of these, a small bucket is verified pair by pair across
 components. For a bucket over ``HEAVY`` members the segment is not used (allocation 0);
-each of its z such segments is made up for by two others with allocation 2, chosen in a
-fixed order, where sets are joined when one segment equals the other with one shingle
+each of its z such segments is made up for by two filled ones with allocation 2, the first
+ones in order, where sets are joined when one segment equals the other with one shingle
 removed. Sum of allocations > H, so no pair is lost. Sets with too many heavy segments
 for that stay in their heavy buckets.
 
@@ -49,7 +51,7 @@ from trawl.operators.keyed import is_small
 HEAVY = 32
 # Most ids (8 bytes each) broadcast to pick the texts to verify; beyond it, a shuffle.
 BROADCAST_IDS = 500_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 # Signatures keep 48 bits: chance meetings are rare and are verified.
 SIGNATURE = (1 << 48) - 1
 LEAST_CELLS = 64
@@ -114,15 +116,15 @@ class Rule:
             return -1
         return (a + b) * (self.den - self.num) // (self.den + self.num)
 
-    def instances(self, size: int) -> list[tuple[int, int]]:
-        """The (band, segments) under which a set of this size is indexed."""
+    def instances(self, size: int) -> list[tuple[int, int, int]]:
+        """The (band, most differences, segments) under which a set of this size is indexed."""
         band = int(np.searchsorted(self.edges, size, side="right")) - 1
         found = []
         for k in (band - 1, band):
             if k >= 0:
                 differ = int(self.edges[k + 1] - 1) * (self.den - self.num) // self.num
                 if differ:  # without a difference only equal sets are similar
-                    found.append((k, differ + 1))
+                    found.append((k, differ, differ + 2 + differ // 10))
         return found
 
 
@@ -140,11 +142,18 @@ def signature(sums: np.ndarray, counts: np.ndarray, segment: np.ndarray, band: i
     return (mix(sums + mix(tag)) & U(SIGNATURE)).view(np.int64)
 
 
+def indexed_segments(counts: np.ndarray, differ: int) -> np.ndarray:
+    """The filled segments if they are more than the differences, else all."""
+    filled = np.flatnonzero(counts)
+    return filled if len(filled) > differ else np.arange(len(counts))
+
+
 def signatures(shingles: np.ndarray, rule: Rule) -> np.ndarray:
     parts = []
-    for band, segments in rule.instances(len(shingles)) if len(shingles) else []:
+    for band, differ, segments in rule.instances(len(shingles)) if len(shingles) else []:
         sums, counts, _ = segment_sums(shingles, segments)
-        parts.append(signature(sums, counts, np.arange(segments), band))
+        at = indexed_segments(counts, differ)
+        parts.append(signature(sums[at], counts[at], at, band))
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
 
 
@@ -152,23 +161,29 @@ def allocated(shingles: np.ndarray, rule: Rule, heavy: set[int]) -> Iterator[tup
     """Entries of a set with heavy signatures: (role, key).
 
     Role ``whole`` keys meet role ``less`` keys (one shingle removed); ``heavy`` keys meet
-    each other. Segments with allocation 2 are the first 2z in segment order.
+    each other. Segments with allocation 2 are the shortest run from the first one on that
+    holds 2z filled ones. Of two sets the shorter run counts for both.
     """
-    for band, segments in rule.instances(len(shingles)):
+    for band, differ, segments in rule.instances(len(shingles)):
         sums, counts, place = segment_sums(shingles, segments)
         own = signature(sums, counts, np.arange(segments), band)
-        hot = [int(s) for s in own if int(s) in heavy]
+        indexed = indexed_segments(counts, differ)
+        least = 0 if len(indexed) == segments else 1  # empty segments are keys where they are indexed
+        hot = [s for s in own[indexed].tolist() if s in heavy]
         if not hot:
             continue
-        take = min(2 * len(hot), segments)
-        if 2 * len(hot) > segments:
+        filled = np.flatnonzero(counts)
+        if 2 * len(hot) > len(filled):
+            take = segments
             yield from (("heavy", s) for s in hot)
-        yield from (("whole", int(s)) for s in own[:take])
-        inside = shingles[place < take]
-        at = place[place < take]
+        else:
+            take = int(filled[2 * len(hot) - 1]) + 1
+        yield from (("whole", s) for s in own[:take][counts[:take] >= least].tolist())
+        kept = (place < take) & (counts[place] > least)
+        inside, at = shingles[kept], place[kept]
         if len(at):
             less = signature(sums[at] - mix(inside), counts[at] - 1, at, band)
-            yield from (("less", int(s)) for s in np.unique(less))
+            yield from (("less", s) for s in np.unique(less).tolist())
 
 
 def sketch(shingles: np.ndarray) -> bytes:
