@@ -29,3 +29,13 @@ def test_positions_count_removed_words(spark):
 
 def test_no_words(spark):
     assert terms(spark, " .. ") == []
+
+
+def test_a_word_needs_a_letter_or_digit(spark):
+    text = "____ \u0301 _1 _'_'x __''a '' a\u0301 _'_ 9"
+    assert terms(spark, text, stem=False) == ["_1", "_'_'x", "a", "a\u0301", "9"]
+
+
+def test_a_word_of_very_many_apostrophes(spark):
+    text = "x" + "'0" * 100_000
+    assert terms(spark, text + " y " + "_'" * 100_000, stem=False) == [text, "y"]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from small import make_index, make_topics
 
-from trawl import open_index, update_index
+from trawl import build_index, open_index, storage, update_index
 from trawl.operators import postings as postings_module
 from trawl.operators.postings import (
     approximate_vocabulary,
@@ -147,3 +147,34 @@ def test_update_replaces_and_adds(spark, index, rows, tmp_path, monkeypatch, bou
     assert "Exchange" not in executed_plan(updated.postings.groupBy("docno").count())
     with pytest.raises(ValueError):
         update_index(index, raw, index.path)
+
+
+def test_the_last_of_repeated_ids_counts(spark, tmp_path, rows):
+    raw = spark.createDataFrame(
+        [("d1", "old", 1), ("d1", "new word", 2), ("d2", "two", 1)], "docno string, text string, v int"
+    )
+    first = build_index(raw, str(tmp_path / "a"), [], order="v")
+    assert rows(first.documents, "docno", "doclength") == [("d1", 2), ("d2", 1)]
+    batch = spark.createDataFrame([("d2", "now three words", 2), ("d2", "x", 1)], "docno string, text string, v int")
+    second = update_index(first, batch, str(tmp_path / "b"), order="v")
+    assert rows(second.documents, "docno", "doclength") == [("d1", 2), ("d2", 3)]
+    assert second.collection().n_docs == 2
+    with pytest.raises(ValueError):
+        update_index(first, batch, str(tmp_path / "c"))
+
+
+def test_an_index_rebuilt_elsewhere_with_other_buckets_is_read_whole(spark, tmp_path):
+    path = str(tmp_path / "index")
+    many = {f"d{i}": "word" for i in range(50)}
+    stale = make_index(spark, path, many, buckets=2)
+    name = storage.table_name(storage.qualified(spark, path), "documents")
+    make_index(spark, path, many, buckets=8)
+    # What a session that built with two buckets still has in its catalog.
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(
+        f"CREATE TABLE {name} (docno string, text string, doclength bigint) USING parquet"
+        f" CLUSTERED BY (docno) SORTED BY (docno) INTO 2 BUCKETS LOCATION '{path}/documents'"
+    )
+    assert stale.buckets == 2
+    opened = open_index(spark, path + "/")
+    assert opened.buckets == 8 and opened.documents.count() == 50

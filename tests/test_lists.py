@@ -1,5 +1,3 @@
-import pytest
-
 from trawl.sources import lists
 
 
@@ -8,11 +6,18 @@ def test_stop_list_keeps_case(spark, tmp_path):
     assert lists.read_stop_list(spark, str(tmp_path / "stop")) == ["The", "of", "the"]
 
 
-def test_stop_list_is_bounded(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(lists, "STOP_LIST_ROWS", 2)
-    (tmp_path / "stop").write_text("a\nb\nc\n")
-    with pytest.raises(ValueError):
-        lists.read_stop_list(spark, str(tmp_path / "stop"))
+def test_stop_list_may_be_long(spark, tmp_path):
+    (tmp_path / "stop").write_text("".join(f"w{i}\n" for i in range(120_000)))
+    assert len(lists.read_stop_list(spark, str(tmp_path / "stop"))) == 120_000
+
+
+def test_lines_of_another_form_are_counted(spark, tmp_path, rows):
+    (tmp_path / "topics").write_text("1. one\nno number. x\n2 no dot\n")
+    (tmp_path / "qrels").write_text("1 0 AP1 1\n1 0 AP2\nx 0 AP3 1\n1 0 AP4 y\n")
+    assert rows(lists.read_topics(spark, str(tmp_path / "topics"))) == [(1, " one")]
+    assert rows(lists.dropped_topics(spark, str(tmp_path / "topics")), "dropped") == [(2,)]
+    assert rows(lists.read_qrels(spark, str(tmp_path / "qrels"))) == [(1, "AP1", 1)]
+    assert rows(lists.dropped_qrels(spark, str(tmp_path / "qrels")), "dropped") == [(3,)]
 
 
 def test_topic_text_ends_at_the_second_dot(spark, tmp_path, rows):

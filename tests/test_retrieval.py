@@ -14,7 +14,7 @@ def index(spark, tmp_path_factory):
 
 
 def as_dict(hits):
-    return {(r.model, r.qid, r.docno): (r.score, r.rank) for r in hits.collect()}
+    return {(r.model, r.qid, r.docno): (round(r.score, 6), r.rank) for r in hits.collect()}
 
 
 def ranked(scores, k=15_000):

@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 from trawl.functions.stemming import stem_words
 
 # Letters, digits, combining marks and underscore; an apostrophe only inside a word.
-WORD = r"[\p{L}\p{N}\p{M}_]+(?:['’][\p{L}\p{N}\p{M}_]+)*"
+# Possessive repeats keep the matcher from recursing and from going back.
+WORD = r"[\p{L}\p{N}\p{M}_]++(?:['’][\p{L}\p{N}\p{M}_]++)*+"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    """The words of a text; marks and underscores alone are none."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return F.filter(runs, lambda run: run.rlike(r"[\p{L}\p{N}]"))
 
 
 def strip_possessive(word: Column) -> Column:

@@ -46,6 +46,8 @@ class Scorer:
     match: Callable[[Collection], Column]
     topic: Callable[[Collection], Column] | None = None
     total: Callable[[Collection, Column, Column], Column] | None = None
+    # Decimal places by which hits are ordered; a scorer of small values asks for more.
+    digits: int = 6
 
     def score(self, collection: Collection, matched: Column, topic: Column) -> Column:
         if self.total is None:
@@ -68,6 +70,11 @@ def scorer(name: str) -> Scorer:
     return _registry[name]
 
 
+def rounded(score: Column, digits: int) -> Column:
+    """Scores that differ by the order of summation alone become equal."""
+    return F.rint(score * 10.0**digits) / 10.0**digits
+
+
 def _okapi_weight(c: Collection) -> Column:
     tf = F.col("tf")
     length = F.col("doclength") / F.lit(c.avg_dl)

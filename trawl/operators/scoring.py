@@ -7,15 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trawl.functions.scoring import Collection, Scorer
+from trawl.functions.scoring import Collection, Scorer, rounded
 from trawl.operators.keyed import BROADCAST_ROWS, is_small
 from trawl.storage import scratch_path
 
 PUSHED_TERMS = 500
 SALT_ROWS = 5_000_000
 TOP_K_GROUP_ROWS = 2_000_000
-# Scores are rounded so that equal documents tie whatever the order of summation.
-SCORE_STEPS = 1e6
 
 
 def weigh_topic_terms(topic_terms: DataFrame, terms: DataFrame) -> DataFrame:
@@ -122,9 +120,7 @@ def score_pairs(
         "qid",
         "docno",
         *[
-            _rounded(
-                s.score(collection, F.col(f"m_{s.name}"), F.col(f"t_{s.name}"))
-            ).alias(s.name)
+            s.score(collection, F.col(f"m_{s.name}"), F.col(f"t_{s.name}")).alias(s.name)
             for s in scorers
         ],
     )
@@ -135,9 +131,19 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.hash(key), F.lit(buckets))
 
 
-def rank_hits(scored: DataFrame, models: list[str], k: int, parts: int = 1) -> DataFrame:
+def rank_hits(
+    scored: DataFrame,
+    models: list[str],
+    k: int,
+    parts: int = 1,
+    digits: dict[str, int] | None = None,
+) -> DataFrame:
     """Best ``k`` documents per model and topic, zero scores dropped after the cut,
-    then ranked without gaps. Equal scores rank by document id.
+    then ranked without gaps.
+
+    Order goes by the score rounded to the model's ``digits`` (6 by default) and then by
+    document id, so that it does not depend on the order of summation. Whether a score is
+    zero, and the score returned, are the score itself.
 
     Each task keeps at most ``k`` rows per group before the shuffle. From ``parts``
     buckets one group still receives up to ``parts * k`` rows; when that is too many for
@@ -146,7 +152,12 @@ def rank_hits(scored: DataFrame, models: list[str], k: int, parts: int = 1) -> D
     """
     _raise_setting(scored.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold", k)
     hits = scored.unpivot(["qid", "docno"], models, "model", "score")
-    order = [F.desc("score"), F.asc("docno")]
+    place = rounded(F.col("score"), 6)
+    for model, own in (digits or {}).items():
+        if own != 6:
+            place = F.when(F.col("model") == model, rounded(F.col("score"), own)).otherwise(place)
+    hits = hits.withColumn("place", place)
+    order = [F.desc("place"), F.asc("docno")]
     if parts * k > TOP_K_GROUP_ROWS:
         slices = math.isqrt(parts) + 1
         hits = hits.withColumn("slice", F.pmod(bucket_of("docno", parts), F.lit(slices)))
@@ -208,10 +219,6 @@ def rank_by_ranges(
     )
 
 
-def _rounded(score: Column) -> Column:
-    return F.rint(score * SCORE_STEPS) / SCORE_STEPS
-
-
 def _raise_setting(spark: SparkSession, key: str, value: int) -> None:
     if int(spark.conf.get(key)) < value:
         spark.conf.set(key, str(value))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from trawl import schemas
 from trawl.functions.scoring import Collection
-from trawl.operators.keyed import BROADCAST_ROWS, is_small, parts_for
+from trawl.operators.keyed import BROADCAST_ROWS, is_small, keep_last, parts_for
 from trawl.operators.postings import (
     build_postings,
     clean_documents,
@@ -59,19 +59,23 @@ def build_index(
     stop_words: list[str],
     stem: bool = True,
     buckets: int | None = None,
+    order: str | None = None,
 ) -> Index:
-    """Index ``docno, text`` rows with unique ids under ``path``.
+    """Index ``docno, text`` rows under ``path``.
 
-    ``buckets`` sets the size of every later task on documents or postings; aim at
+    Of rows with one id the last by the column ``order`` counts; without that column a
+    repeated id is an error. ``buckets`` sets the size of every later task on documents or postings; aim at
     about a gigabyte of postings each. By default it follows from the number of
     documents and of cores.
     """
     spark = raw.sparkSession
+    raw = _last_by(raw, order)
     buckets = buckets or parts_for(spark, raw.count(), DOCUMENTS_PER_BUCKET)
     documents = write_bucketed(
         clean_documents(raw.repartition(buckets, "docno"), stop_words),
         path, "documents", buckets, "docno", "docno",
     )
+    _fail_on_repeated_ids(documents)
     write_bucketed(
         build_postings(documents, stop_words, stem),
         path, "postings", buckets, "docno", "term",
@@ -80,9 +84,24 @@ def build_index(
     return refresh_statistics(spark, path)
 
 
-def update_index(index: Index, raw: DataFrame, path: str) -> Index:
+def _last_by(raw: DataFrame, order: str | None) -> DataFrame:
+    """One row per id. Copies are reduced in each task before they are shuffled."""
+    if order is None:
+        return raw
+    return keep_last(raw.select("docno", "text", order), ["docno"], [order])
+
+
+def _fail_on_repeated_ids(documents: DataFrame) -> None:
+    """Documents are partitioned by id, so the grouping needs no exchange."""
+    repeated = documents.groupBy("docno").count().where("count > 1").first()
+    if repeated:
+        raise ValueError(f"{repeated.docno} occurs {repeated['count']} times; name the column that orders them")
+
+
+def update_index(index: Index, raw: DataFrame, path: str, order: str | None = None) -> Index:
     """Write a new index under ``path``: ``index`` with the ``docno, text`` rows of
-    ``raw`` added, replacing the documents of the same id.
+    ``raw`` added, replacing the documents of the same id. Repeated ids within ``raw``
+    are treated as ``build_index`` treats them.
 
     Only new documents are analyzed. Old documents and postings are filtered in their
     buckets; files cannot be changed in place, so they are written anew.
@@ -90,7 +109,8 @@ def update_index(index: Index, raw: DataFrame, path: str) -> Index:
     if path.rstrip("/") == index.path.rstrip("/"):
         raise ValueError("an index cannot be updated in its own place")
     spark, n = index.spark, index.buckets
-    fresh = clean_documents(raw.repartition(n, "docno"), index.stop_words).persist()
+    fresh = clean_documents(_last_by(raw, order).repartition(n, "docno"), index.stop_words).persist()
+    _fail_on_repeated_ids(fresh)
     ids = fresh.select("docno")
     if is_small(ids, BROADCAST_ROWS):
         ids = F.broadcast(ids)

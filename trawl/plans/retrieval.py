@@ -51,6 +51,7 @@ def retrieve(
 
     All models share one scan of the postings and one grouping.
     """
-    names = [m if isinstance(m, str) else m.name for m in models]
-    scored = score(index, weighed_terms(index, topics), models)
-    return rank_hits(scored, names, k, parts=index.buckets)
+    scorers = [m if isinstance(m, Scorer) else scorer(m) for m in models]
+    digits = {s.name: s.digits for s in scorers}
+    scored = score(index, weighed_terms(index, topics), scorers)
+    return rank_hits(scored, list(digits), k, index.buckets, digits)

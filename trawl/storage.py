@@ -42,8 +42,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """One spelling of a path: with scheme, absolute, without a trailing slash."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(place).toString()
+
+
 def table_name(path: str, table: str) -> str:
-    """Catalog name of an index table, fixed by the index location."""
+    """Catalog name of an index table, fixed by the qualified index location."""
     return f"trawl_{hashlib.md5(path.encode()).hexdigest()[:12]}_{table}"
 
 
@@ -55,6 +62,7 @@ def write_bucketed(
     Joins and groupings whose keys include ``key`` then need no exchange, and the
     order inside each file lets Parquet skip pages on ``sort``.
     """
+    path = qualified(df.sparkSession, path)
     name = table_name(path, table)
     (
         df.write.mode("overwrite")
@@ -76,8 +84,19 @@ def open_bucketed(
     key: str,
     sort: str,
 ) -> DataFrame:
-    """Declare an already written bucketed table in this session's catalog."""
+    """Declare an already written bucketed table in this session's catalog.
+
+    Another session may have written it anew: an entry with other buckets is replaced,
+    and the files are listed again.
+    """
+    path = qualified(spark, path)
     name = table_name(path, table)
+    if spark.catalog.tableExists(name):
+        described = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+        if described is None or int(described.data_type) != buckets:
+            spark.sql(f"DROP TABLE {name}")
+        else:
+            spark.catalog.refreshTable(name)
     if not spark.catalog.tableExists(name):
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         spark.sql(
@@ -91,4 +110,4 @@ def open_bucketed(
 def drop_tables(spark: SparkSession, path: str, tables: tuple[str, ...]) -> None:
     """Forget the index tables; the files of an external table stay."""
     for table in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {table_name(path, table)}")
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(qualified(spark, path), table)}")

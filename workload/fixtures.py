@@ -23,6 +23,8 @@ STOP_WORDS = (
     "the of and is in to that it le la les de et un der die und el los que".split()
 )
 SEED = 42
+# Apostrophes, underscores and a lone combining mark, which the tables' texts lack.
+MARKS = " o'clock's rock'n'roll __ _a1 _'b l’été’s \u0301 a\u0301'c__'"
 POOL_DEPTH = 100
 
 _made: dict[tuple[str, str, str], str] = {}
@@ -51,8 +53,10 @@ def docno_of(doc_id: Column) -> Column:
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts, every third one followed by ``MARKS``."""
     documents = table(spark, sf_dir, "documents")
-    return documents.select(docno_of(F.col("doc_id")).alias("docno"), "text")
+    marked = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(MARKS))).otherwise(F.col("text"))
+    return documents.select(docno_of(F.col("doc_id")).alias("docno"), marked.alias("text"))
 
 
 def index(spark: SparkSession, sf_dir: str) -> Index:
@@ -64,16 +68,21 @@ def index(spark: SparkSession, sf_dir: str) -> Index:
 
 
 def revised_index(spark: SparkSession, sf_dir: str) -> Index:
-    """The index after every labelled document came in again with a changed text."""
+    """The index after every labelled document came in again with a changed text.
+
+    The batch holds an outdated copy of each as well; the later one counts.
+    """
     labelled = table(spark, sf_dir, "labels").select(
         docno_of(F.col("doc_id")).alias("docno")
     )
     revised = raw_documents(spark, sf_dir).join(labelled, "docno", "left_semi").withColumn(
         "text", F.concat(F.lit("Revised editions: "), F.col("text"))
     )
+    outdated = revised.select("docno", F.lit("outdated").alias("text"), F.lit(1).alias("version"))
+    batch = revised.withColumn("version", F.lit(2)).unionByName(outdated)
     path = made_once(
         spark, sf_dir, "revised",
-        lambda p: update_index(index(spark, sf_dir), revised, p),
+        lambda p: update_index(index(spark, sf_dir), batch, p, order="version"),
     )
     return open_index(spark, path)
 
@@ -105,6 +114,14 @@ def tagged_files(spark: SparkSession, sf_dir: str, versions: int = 1) -> str:
     return made_once(spark, sf_dir, f"tagged{versions}", make)
 
 
+def stop_file(spark: SparkSession, sf_dir: str) -> str:
+    """The stop words, one per line."""
+    return made_once(
+        spark, sf_dir, "stop",
+        lambda p: spark.createDataFrame([(w,) for w in STOP_WORDS], "value string").write.text(p),
+    )
+
+
 def topic_file(spark: SparkSession, sf_dir: str) -> str:
     """``number. preamble text`` lines; the preambles take turns over the topics."""
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from trawl.functions.cleaning import TOPIC_PREAMBLES
 from trawl.functions.stemming import STEP_2, STEP_3, STEP_4
-from workload.fixtures import POOL_DEPTH, SEED, STOP_WORDS
-from workload.queries import BROWSE_SIZE, RUN_DEPTH
+from workload.fixtures import MARKS, POOL_DEPTH, SEED, STOP_WORDS
+from workload.queries import BROWSE_SIZE, SHALLOW_K
 from trawl.plans.retrieval import TOP_K
 
 
@@ -22,6 +22,14 @@ _STOP = ", ".join(_quoted(w) for w in STOP_WORDS)
 _DOCNO = "'AP' || lpad(doc_id::varchar, 11, '0')"
 _WORD = r"[\p{L}\p{N}\p{M}_]+(?:[''’][\p{L}\p{N}\p{M}_]+)*"
 
+
+def _words(text: str) -> str:
+    return (
+        rf"list_filter(regexp_extract_all(lower({text}), '{_WORD}'),"
+        r" lambda w: regexp_matches(w, '[\p{L}\p{N}]'))"
+    )
+
+
 # --- cleaning ---------------------------------------------------------------------
 
 
@@ -135,14 +143,14 @@ def _bare(word: str) -> str:
 
 
 def _ranked(scores: str, k: int, group: str = "qid") -> str:
-    """Cut at k, drop zero scores, rank again."""
+    """Cut at k by the rounded score, drop what is zero unrounded, rank again."""
     return f"""
-SELECT * EXCLUDE (cut), row_number() OVER (
+SELECT * EXCLUDE (cut, raw), row_number() OVER (
          PARTITION BY {group} ORDER BY score DESC, docno)::bigint AS rank
 FROM (SELECT *, row_number() OVER (
                PARTITION BY {group} ORDER BY score DESC, docno) AS cut
       FROM ({scores}))
-WHERE cut <= {k} AND score <> 0"""
+WHERE cut <= {k} AND raw <> 0"""
 
 
 _OKAPI = "tf / (tf + 0.5::double + 1.5::double * dl / avg_dl)"
@@ -159,17 +167,19 @@ _MODEL_SQL = {
     "damped": (
         "sum(qtf * ln(1::double + tf) / sqrt(dl::double) * ln(1::double + n_docs::double / df))"
     ),
+    "tiny": "sum(tf / 1e9::double)",
 }
 
 
 def _scores(model: str) -> str:
+    digits = 12 if model == "tiny" else 6
     return (
-        f"SELECT qid, docno, round({_MODEL_SQL[model]}, 6) AS score "
+        f"SELECT qid, docno, {_MODEL_SQL[model]} AS raw, round(raw, {digits}) AS score "
         "FROM dense GROUP BY qid, docno"
     )
 
 
-_MODELS = [m for m in _MODEL_SQL if m != "damped"]
+_MODELS = [m for m in _MODEL_SQL if m not in ("damped", "tiny")]
 _ALL_SCORES = " UNION ALL ".join(
     f"SELECT '{m}' AS model, * FROM ({_scores(m)})" for m in _MODELS
 )
@@ -177,7 +187,11 @@ _ALL_SCORES = " UNION ALL ".join(
 _PREAMBLE = "[" + ", ".join(_quoted(p) for p in TOPIC_PREAMBLES) + "][item_id % 5 + 1]"
 
 _VIEWS: dict[str, tuple[list[str], str]] = {
-    "docs": ([], f"SELECT {_DOCNO} AS docno, {_clean_document('text')} AS text FROM documents"),
+    "docs": (
+        [],
+        f"SELECT {_DOCNO} AS docno, {_clean_document('marked')} AS text FROM (SELECT doc_id,"
+        f" CASE WHEN doc_id % 3 = 0 THEN text || {_quoted(MARKS)} ELSE text END AS marked FROM documents)",
+    ),
     "lengths": (
         ["docs"],
         r"SELECT docno, text, len(regexp_extract_all(text, '\S+'))::bigint AS dl FROM docs",
@@ -187,12 +201,12 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
         ["docs"],
         f"SELECT docno, {_bare('word')} AS word, pos FROM (SELECT docno, unnest(l) AS word,"
         f" generate_subscripts(l, 1) - 1 AS pos FROM (SELECT docno,"
-        f" regexp_extract_all(lower(text), '{_WORD}') AS l FROM docs))",
+        f" {_words('text')} AS l FROM docs))",
     ),
     "topic_words": (
         ["topics"],
         f"SELECT qid, {_bare('word')} AS word FROM (SELECT qid,"
-        f" unnest(regexp_extract_all(lower(text), '{_WORD}')) AS word FROM topics)",
+        f" unnest({_words('text')}) AS word FROM topics)",
     ),
     "bare_words": (
         ["doc_words", "topic_words"],
@@ -300,12 +314,12 @@ _REVISED = (
     " THEN 'Revised editions: ' || text ELSE text END AS text FROM documents)"
 )
 
-_RUN_LINES = _with(
-    ["dense"],
+_LINES = (
     "SELECT model, qid || ' Q0 ' || docno || ' ' || rank || ' '"
     " || score::decimal(18, 6)::varchar || ' Exp' AS line"
-    f" FROM ({_ranked(_ALL_SCORES, RUN_DEPTH, 'model, qid')})",
+    " FROM ({ranked})"
 )
+_RUN_LINES = _with(["dense"], _LINES.format(ranked=_ranked(_ALL_SCORES, TOP_K, "model, qid")))
 
 ORACLE: dict[str, str] = {
     "ingest_tagged": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
@@ -325,6 +339,7 @@ ORACLE: dict[str, str] = {
         f"SELECT docno, text, dl AS doclength FROM lengths ORDER BY docno LIMIT {BROWSE_SIZE}",
     ),
     "clean_docs": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
+    "stop_list_file": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
     "doc_length": _with(["lengths"], "SELECT docno, dl AS doclength FROM lengths"),
     "length_stats": _with(
         ["lengths"],
@@ -339,8 +354,7 @@ ORACLE: dict[str, str] = {
     ),
     "stem_vocab": _with(
         ["stems"],
-        f"SELECT v.word, stem FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text),"
-        f" '{_WORD}')) AS word FROM docs) v JOIN stems s ON s.word = {_bare('v.word')}",
+        f"SELECT v.word, stem FROM (SELECT DISTINCT unnest({_words('text')}) AS word FROM docs) v JOIN stems s ON s.word = {_bare('v.word')}",
     ),
     "query_terms": _with(["topic_terms"], "SELECT qid, term, qtf FROM topic_terms"),
     "postings": _with(["postings"], "SELECT docno, term, tf FROM postings"),
@@ -366,9 +380,15 @@ ORACLE: dict[str, str] = {
     "retrieve_laplace": _retrieved("laplace", TOP_K),
     "retrieve_jm": _retrieved("jm", TOP_K),
     "retrieve_all_models": _with(["kept"], "SELECT qid, docno, model, score, rank FROM kept"),
-    "custom_scorer": _retrieved("damped", RUN_DEPTH),
+    "retrieve_top_k": _retrieved("okapi_bm", SHALLOW_K),
+    "custom_scorer": _retrieved("damped", TOP_K),
+    "tiny_scorer": _retrieved("tiny", TOP_K),
     "run_lines": _RUN_LINES,
     "run_files": _RUN_LINES,
+    "run_append": _with(
+        ["dense"],
+        _LINES.format(ranked=_ranked(f"SELECT 'okapi_bm' AS model, * FROM ({_scores('okapi_bm')})", TOP_K)),
+    ),
     "judged_only": _with(
         ["lengths", "qrels"],
         "SELECT docno, dl AS doclength FROM lengths WHERE docno IN (SELECT docno FROM qrels)",

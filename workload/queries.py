@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.analysis import analyze, strip_possessive, words
-from trawl.functions.scoring import Scorer
+from trawl.functions.scoring import Scorer, rounded
 from trawl.functions.stemming import stem_words
 from trawl.operators.features import matched_term_sums, pair_lengths
 from trawl.operators.learning import LEARNERS
@@ -27,16 +27,17 @@ from trawl.operators.scoring import candidates, match_postings, rank_all
 from trawl.operators.splitting import held_out_topics, train_topics
 from trawl.plans.indexing import load_corpus
 from trawl.plans.learning import split_features
-from trawl.plans.retrieval import retrieve, weighed_terms
+from trawl.plans.retrieval import TOP_K, retrieve, weighed_terms
 from trawl.sinks.runfiles import run_line, write_runs
-from trawl.sources.lists import read_qrels, read_topics
+from trawl.sources.lists import read_qrels, read_stop_list, read_topics
 from trawl.storage import scratch_path
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BROWSE_SIZE = 10
-RUN_DEPTH = 100
+# Depth of the query whose feature is the cut.
+SHALLOW_K = 100
 
 
 def ingest_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,12 @@ def clean_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_documents(fx.raw_documents(spark, sf_dir), fx.STOP_WORDS)
 
 
+def stop_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cleaned by a stop list that comes from a file."""
+    stop_words = read_stop_list(spark, fx.stop_file(spark, sf_dir))
+    return clean_documents(fx.raw_documents(spark, sf_dir), stop_words)
+
+
 def topic_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = read_topics(spark, fx.topic_file(spark, sf_dir))
     return clean_topics(parsed, fx.STOP_WORDS)
@@ -160,16 +167,28 @@ def matched_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.join(sums, ["qid", "docno"], "left").na.fill(0)
 
 
-def retrieve_by(model: str) -> Query:
+def comparable(hits: DataFrame, digits: int = 6) -> DataFrame:
+    """Hits with scores rounded as the SQL rounds them."""
+    return hits.withColumn("score", rounded(F.col("score"), digits))
+
+
+def retrieve_by(model: str, k: int = TOP_K) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        hits = retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir), [model])
-        return hits.drop("model")
+        hits = retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir), [model], k)
+        return comparable(hits).drop("model")
 
     return query
 
 
 def retrieve_all_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir))
+    return comparable(retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir)))
+
+
+def tiny_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores far below a millionth: every one is a hit."""
+    tiny = Scorer("tiny", match=lambda c: F.col("tf") / F.lit(1e9), digits=12)
+    hits = retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir), [tiny])
+    return comparable(hits, 12).drop("model")
 
 
 def custom_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,28 +199,38 @@ def custom_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
         / F.sqrt(F.col("doclength").cast("double"))
         * F.log(1.0 + F.lit(c.n_docs) / F.col("df")),
     )
-    hits = retrieve(
-        fx.index(spark, sf_dir), fx.topics(spark, sf_dir), [damped], RUN_DEPTH
-    )
-    return hits.drop("model")
+    hits = retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir), [damped])
+    return comparable(hits).drop("model")
 
 
 def run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run lines of all models, as the run files hold them, at a fixed depth."""
-    hits = retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir), k=RUN_DEPTH)
+    """Run lines of all models, as the run files hold them."""
+    hits = retrieve_all_models(spark, sf_dir)
     score = F.col("score").cast("decimal(18,6)")
     return hits.select("model", run_line(score).alias("line"))
 
 
 def run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same run lines, written as run files and read back."""
-    hits = retrieve(fx.index(spark, sf_dir), fx.topics(spark, sf_dir), k=RUN_DEPTH)
+    hits = retrieve_all_models(spark, sf_dir)
     path = scratch_path(spark, "runs")
-    exact = hits.withColumn("score", F.col("score").cast("decimal(18,6)"))
-    write_runs(exact, path, ["model"], "score")
+    write_runs(fixed_point(hits), path, ["model"], "score")
+    return spark.read.text(path).select("model", F.col("value").alias("line"))
+
+
+def run_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two disjoint sets of topics written one after the other into the same runs."""
+    items, path = fx.topics(spark, sf_dir), scratch_path(spark, "runs")
+    for mode, part in (("overwrite", items.where("qid % 2 = 0")), ("append", items.where("qid % 2 <> 0"))):
+        hits = comparable(retrieve(fx.index(spark, sf_dir), part, ["okapi_bm"]))
+        write_runs(fixed_point(hits), path, ["model"], "score", mode)
     return spark.read.text(path).select("model", F.col("value").alias("line"))
 
 
+def fixed_point(hits: DataFrame) -> DataFrame:
+    return hits.withColumn("score", F.col("score").cast("decimal(18,6)"))
+
+
 def topic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_topics(fx.topics(spark, sf_dir), fx.SEED)
 
@@ -259,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "qrels_parse": qrels_parse,
     "browse_docs": browse_docs,
     "clean_docs": clean_docs,
+    "stop_list_file": stop_list_file,
     "doc_length": doc_length,
     "length_stats": length_stats,
     "vocab_exact": vocab_exact,
@@ -278,9 +308,12 @@ QUERIES: dict[str, Query] = {
     "retrieve_laplace": retrieve_by("laplace"),
     "retrieve_jm": retrieve_by("jm"),
     "retrieve_all_models": retrieve_all_models,
+    "retrieve_top_k": retrieve_by("okapi_bm", SHALLOW_K),
     "custom_scorer": custom_scorer,
+    "tiny_scorer": tiny_scorer,
     "run_lines": run_lines,
     "run_files": run_files,
+    "run_append": run_append,
     "judged_only": judged_only,
     "topic_split": topic_split,
     "train_topics": train_split,
