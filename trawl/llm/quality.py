@@ -115,15 +115,7 @@ class LineField:
     def scores(self, texts: list[bytes]) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        out, block, held = [], [], 0
-        for text in texts:
-            block.append(text)
-            held += len(text)
-            if held >= BLOCK_BYTES:
-                out.append(self._block(block))
-                block, held = [], 0
-        if block:
-            out.append(self._block(block))
+        out = [self._block(block) for block in text_blocks(texts)]
         return np.concatenate(out) if out else np.zeros(0)
 
     def _block(self, texts: list[bytes]) -> np.ndarray:
@@ -132,6 +124,19 @@ class LineField:
         return 1 / (1 + np.exp(-(self.slope * logit(share) + self.shift)))
 
 
+def text_blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Consecutive texts of about ``BLOCK_BYTES`` together."""
+    block, held = [], 0
+    for text in texts:
+        block.append(text)
+        held += len(text)
+        if held >= BLOCK_BYTES:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
 def logit(share: np.ndarray) -> np.ndarray:
     clipped = np.clip(share, 1e-4, 1 - 1e-4)
     return np.log(clipped / (1 - clipped))
@@ -198,7 +203,7 @@ def fit_field(features: np.ndarray, per_text: np.ndarray, labels: np.ndarray, st
 def train(texts: list[bytes], labels: list[int], weight: list[float], rounds: int = 3) -> LineField:
     """Fit the field and the curve from good share to score; ``weight`` undoes sampling."""
     labels_of_text = np.array(labels, dtype=np.int64)
-    features, lengths, per_text = line_features(texts)
+    features, lengths, per_text = (np.concatenate(x) for x in zip(*map(line_features, text_blocks(texts))))
     owner = np.repeat(np.arange(len(texts)), per_text)
     inherited = labels_of_text[owner]
     heads = np.concatenate([[0], np.cumsum(per_text)[:-1]])
