@@ -78,3 +78,15 @@ def test_repeated_ids_null_ids_and_no_rows(spark):
 def test_blocks_do_not_change_the_result(spark, block):
     rows = clusters(60, seed=9)
     assert answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=20, block=block)) == by_brute_force(rows)
+
+
+def test_low_rank_vectors_in_a_hot_cluster_keep_links_over_borders(spark):
+    rng = np.random.default_rng(5)
+    d, n = 384, 900
+    plane, hot = rng.normal(0, 1, (4, d)) / np.sqrt(d), rng.normal(0, 1, d) / np.sqrt(d)
+    close = hot + rng.normal(0, 0.35, (n // 3, 4)) @ plane
+    rest = rng.normal(0, 1, (n - n // 3, d)) / np.sqrt(d)
+    rows = [(i, v.astype("float32").tolist(), 0, "") for i, v in enumerate(np.concatenate([close, rest]))]
+    want = by_brute_force(rows)
+    assert sum(v[0] for v in want.values()) > 1000
+    assert answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=20, block=64)) == want

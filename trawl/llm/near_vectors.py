@@ -1,11 +1,15 @@
 """Near-duplicate vectors by product quantisation, verified by exact cosine.
 
 Coarse inverted lists come from k-means on a bounded sample; each vector's residual to its
-list's centre is coded by subspaces. A vector searches its own list and every list whose
-border it lies near: the signed distance to the border is at most ``reach`` standard
-deviations of a random step of the link radius. Inside a list the asymmetric distance,
-a sum of table look-ups, less the stored coding error, bounds the true distance from
-below; what may lie within the radius is compared by cosine in double precision.
+list's centre is coded by subspaces. A vector searches its own list and every later list
+whose border is no farther than the link radius. A link between two lists crosses their
+border, so no link is lost, whatever directions the vectors vary in; it is found from the
+earlier list and counts for both ends. Inside a list the asymmetric distance, a sum of
+table look-ups, less the stored coding error, bounds the true distance from below; what
+may lie within the radius is compared by cosine in double precision.
+
+The search is exact, so its cost follows the data: vectors without structure lie near most
+borders, and their searches grow with the product of vectors and lists.
 
 Equal vectors are grouped first and stand as one with their number. Lists are cut into
 blocks of bounded size on both sides, so a list that holds most vectors is many tasks. A
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +43,8 @@ SUBSPACE, CODES = 8, 128
 BLOCK = 2048
 # Candidate pairs whose cosine is taken at once; their vectors are copied for it.
 RERANKED = 1 << 16
-REACH = 4.0
+# Rounding of squared distances, which decides the list of a vector between two centres.
+SLACK = 1e-7
 
 
 @dataclass
@@ -57,13 +63,22 @@ class Quantiser:
         gaps = squared(unit, self.centres)
         return gaps.argmin(axis=1), gaps
 
-    def probes(self, unit: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs to search: own lists, and lists whose border is near."""
+    @cached_property
+    def apart(self) -> np.ndarray:
+        """Distances between centres."""
+        return np.sqrt(squared(self.centres, self.centres))
+
+    def probes(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, list) pairs to search, and which are own lists.
+
+        The others are the later lists whose border is within the radius: the squared
+        distances to both centres differ by 2 x apart x the distance to the border.
+        """
         own, gaps = self.assign(unit)
-        apart = np.sqrt(squared(self.centres, self.centres))[own]
         border = gaps - gaps[np.arange(len(own)), own][:, None]
-        near = border <= 2 * apart * self.radius * reach / np.sqrt(unit.shape[1]) + 1e-9
-        return np.nonzero(near)
+        near = border <= 2 * self.apart[own] * self.radius + SLACK
+        rows, lists = np.nonzero(near & (np.arange(len(self.centres)) >= own[:, None]))
+        return rows, lists, lists == own[rows]
 
     def encode(self, unit: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and the distance of each vector from what its codes stand for."""
@@ -141,7 +156,11 @@ def _doubles(key: str, vector: str):
 
 
 def _search(model: Quantiser, least: float):
-    """One block of a list: queries against coded vectors, as counts and a forest."""
+    """One block of a list: queries against coded vectors, as counts and a forest.
+
+    Vectors of the list itself meet as query and as coded vector both ways; only the pair
+    whose query has the smaller id is taken.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         which = table.column("list")[0].as_py()
@@ -153,21 +172,24 @@ def _search(model: Quantiser, least: float):
             query, stock = as_units([r["vector"] for r in seeking]), as_units([r["vector"] for r in held])
             codes = np.stack([np.frombuffer(r["codes"], dtype=np.uint8) for r in held])
             error, number = np.array([r["error"] for r in held]), np.array([r["number"] for r in held])
+            home, many = np.array([r["home"] for r in seeking]), np.array([r["number"] for r in seeking])
             query_ids, stock_ids = np.array([r["id"] for r in seeking]), np.array([r["id"] for r in held])
             lefts, rights = [], []
             for at in range(0, len(query), 256):
                 part = query[at : at + 256]
                 close = model.table_distances(part, which, codes) <= model.radius + error + 1e-9
-                i, j = np.nonzero(close & (query_ids[at : at + 256, None] != stock_ids))
+                i, j = np.nonzero(close & (~home[at : at + 256, None] | (query_ids[at : at + 256, None] < stock_ids)))
                 for k in range(0, len(i), RERANKED):
                     one, two = i[k : k + RERANKED], j[k : k + RERANKED]
                     linked = np.einsum("ij,ij->i", part[one], stock[two]) >= least
                     lefts.append(one[linked] + at)
                     rights.append(two[linked])
             left, right = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (lefts, rights))
-            links = np.bincount(left, number[right], len(query)).astype(np.int64)
-            counts = {int(query_ids[i]): int(links[i]) for i in np.flatnonzero(links)}
             nodes, place = np.unique(np.concatenate([query_ids, stock_ids]), return_inverse=True)
+            links = np.zeros(len(nodes), dtype=np.int64)
+            np.add.at(links, place[left], number[right])
+            np.add.at(links, place[len(query) + right], many[left])
+            counts = {int(nodes[i]): int(links[i]) for i in np.flatnonzero(links)}
             label = forest(place[left], place[len(query) + right], len(nodes))
             moved = np.flatnonzero(label != np.arange(len(nodes)))
             a, b = nodes[moved].tolist(), nodes[label[moved]].tolist()
@@ -179,10 +201,10 @@ def _search(model: Quantiser, least: float):
     return run
 
 
-PLACED = "list int, id long, number long, vector binary, codes binary, error double"
+PLACED = "list int, id long, number long, vector binary, codes binary, error double, home boolean"
 
 
-def _place(model: Quantiser, reach: float, index: bool):
+def _place(model: Quantiser, index: bool):
     """Index entries (own list, codes, error) or searches (every list to look into)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,37 +217,58 @@ def _place(model: Quantiser, reach: float, index: bool):
                     rows = np.arange(len(unit))
                     coded, gap = model.encode(unit, lists)
                     codes, error = pa.array([c.tobytes() for c in coded], pa.binary()), pa.array(gap)
+                    home = pa.nulls(len(rows), pa.bool_())
                 else:
-                    rows, lists = model.probes(unit, reach)
-                    codes, error = pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.float64())
-                taken = part.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists, pa.int32()), taken.column("id"), taken.column("number"), taken.column("vector"), codes, error],
-                    ["list", "id", "number", "vector", "codes", "error"])
+                    rows, lists, own = model.probes(unit)
+                    codes, error, home = pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.float64()), pa.array(own)
+                for k in range(0, len(rows), 8192):
+                    few = slice(k, k + 8192)
+                    taken = part.take(pa.array(rows[few]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lists[few], pa.int32()), taken.column("id"), taken.column("number"), taken.column("vector"), codes[few], error[few], home[few]],
+                        ["list", "id", "number", "vector", "codes", "error", "home"])
 
     return run
 
 
-def _blocks(entries: DataFrame, searches: DataFrame, block: int) -> DataFrame:
-    """Both sides dealt to (list, own block, search block); sizes come from counts by list."""
+def _searched(model: Quantiser):
+    """How many searches each list gets from a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = np.zeros(len(model.centres), dtype=np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                asked += np.bincount(model.probes(as_units(batch.column("vector").slice(at, 1024).to_pylist()))[1], minlength=len(asked))
+        lists = np.flatnonzero(asked)
+        yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), pa.array(asked[lists])], ["list", "n"])
+
+    return run
+
+
+def _blocks(entries: DataFrame, searches: DataFrame, asked: DataFrame, block: int) -> DataFrame:
+    """Both sides dealt to (list, own block, search block); sizes come from counts by list.
+
+    Searches repeat a vector for every list it looks into, so they are not written but
+    found again from the counted ones.
+    """
 
-    def cuts(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("list").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    def cuts(rows: DataFrame, total, name: str) -> DataFrame:
+        return rows.groupBy("list").agg(F.ceil(total / block).cast("int").alias(name))
 
     # As many rows as there are lists, of which there are MOST_LISTS at most.
-    sizes = F.broadcast(stored(cuts(entries, "own").join(cuts(searches, "asked"), "list"), "sizes"))
+    sizes = F.broadcast(stored(cuts(entries, F.count("*"), "own").join(cuts(asked, F.sum("n"), "asked"), "list"), "sizes"))
     place = F.xxhash64("id", F.lit("block"))
     dealt_entries = entries.join(sizes, "list").withColumn("own_block", F.pmod(place, "own").cast("int")).withColumn(
         "asked_block", F.explode(F.sequence(F.lit(0), F.col("asked") - 1)))
     dealt_searches = searches.join(sizes, "list").withColumn("asked_block", F.pmod(place, "asked").cast("int")).withColumn(
         "own_block", F.explode(F.sequence(F.lit(0), F.col("own") - 1)))
-    columns = ["list", "own_block", "asked_block", "id", "number", "vector", "codes", "error"]
+    columns = ["list", "own_block", "asked_block", "id", "number", "vector", "codes", "error", "home"]
     return dealt_entries.select(columns).unionByName(dealt_searches.select(columns))
 
 
 def link_vectors(
     rows: DataFrame, key: str = "vec_id", vector_col: str = "embedding", least: float = LEAST_COSINE,
-    reach: float = REACH, per_list: int = PER_LIST, block: int = BLOCK,
+    per_list: int = PER_LIST, block: int = BLOCK,
 ) -> DataFrame:
     """One row per vector: ``key``, ``n_links``, ``component_id`` and ``kept``."""
     given = rows.select(F.col(key).cast("long").alias("id"), F.col(vector_col).alias("vector")).where(F.col("id").isNotNull())
@@ -235,7 +278,7 @@ def link_vectors(
     lengths = [r[0] for r in classes.select(F.length("vector")).distinct().limit(65).collect()]
     if len(lengths) > 64:
         raise ValueError("vectors of more than 64 different lengths")
-    results = [_linked(classes.where(F.length("vector") == n), least, reach, per_list, block) for n in lengths]
+    results = [_linked(classes.where(F.length("vector") == n), least, per_list, block) for n in lengths]
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("links", T.LongType())])
     found = rows.sparkSession.createDataFrame([], schema)
     for result in results:
@@ -255,7 +298,7 @@ def link_vectors(
     return members.unionByName(alone).select(F.col("id").alias(key), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
-def _linked(classes: DataFrame, least: float, reach: float, per_list: int, block: int) -> DataFrame:
+def _linked(classes: DataFrame, least: float, per_list: int, block: int) -> DataFrame:
     """Link counts (a, links) and forest links (a, b) between different vectors of one length."""
     count = classes.count()
     lists = max(1, min(MOST_LISTS, -(-count // per_list)))
@@ -266,7 +309,7 @@ def _linked(classes: DataFrame, least: float, reach: float, per_list: int, block
         sample = classes.orderBy("first").select("vector").limit(1).collect()
     model = train(as_units([bytes(r.vector) for r in sample]), lists, least)
     named = classes.select(F.col("first").alias("id"), "number", "vector")
-    entries = stored(named.mapInArrow(_place(model, reach, True), PLACED), "entries")
-    searches = stored(named.mapInArrow(_place(model, reach, False), PLACED), "searches")
-    dealt = _blocks(entries, searches, block)
+    entries = stored(named.mapInArrow(_place(model, True), PLACED), "entries")
+    asked = named.mapInArrow(_searched(model), "list int, n long")
+    dealt = _blocks(entries, named.mapInArrow(_place(model, False), PLACED), asked, block)
     return dealt.groupBy("list", "own_block", "asked_block").applyInArrow(_search(model, least), "a long, b long, links long")
