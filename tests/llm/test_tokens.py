@@ -116,3 +116,14 @@ def test_token_files_of_repeated_and_null_ids_and_no_rows(spark, tmp_path):
     assert [g[0] for g in got] == [-1, 4, 4, 4] and [g[1] for g in got] == [0, 2, 4, 6]
     none = spark.createDataFrame([], SCHEMA)
     assert read_token_files(spark, str(tmp_path / "b"), write_token_files(none, str(tmp_path / "b"), tokenizer_path())).collect() == []
+
+
+@pytest.mark.parametrize("length", [1, 9, 20])
+def test_short_texts_fill_their_sequences(length):
+    from trawl.llm.packing import Packer
+
+    packer = Packer(2048, 512, 256, 0)
+    pieces = [p for i in range(30_000) for p in packer.add(i, np.zeros(length, dtype=np.uint16))] + list(packer.flush())
+    assert sorted(p[0] for p in pieces) == list(range(30_000))
+    held = np.bincount([p[4] for p in pieces], [len(p[2]) for p in pieces])
+    assert held.max() <= 2048 and len(held) <= 1.03 * -(-30_000 * length // 2048)

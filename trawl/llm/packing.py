@@ -7,7 +7,9 @@ most unbalanced are merged with their sums opposed, largest on smallest. That le
 near-equal windows. k starts at the least possible number and rises while the fullest
 window exceeds the capacity.
 
-Tasks pack what they read, so nothing is shuffled; a group holds ``group`` rests at most.
+Tasks pack what they read, so nothing is shuffled. A group closes once it has ``group``
+rests and the ids of ``FULL_WINDOWS`` windows, so short texts do not close it half empty; a
+rest has an id at least, which bounds the rests of a group.
 
 Defined cases: null text is empty and gives its end id alone; repeated rows are packed as
 often as they occur; an empty table gives no pieces; rows with a null id are packed under
@@ -30,6 +32,8 @@ from trawl.llm.tokens import blocks, encoder_for
 CAPACITY = 2048
 # Sequences of one task are numbered from its partition's number times this.
 TASK_SPAN = 1 << 40
+# Windows' worth of ids that a group has at least before it is dealt.
+FULL_WINDOWS = 64
 
 
 def difference_partition(sizes: list[int], k: int) -> list[list[int]]:
@@ -80,7 +84,7 @@ class Packer:
         self.capacity, self.cut, self.group = capacity, cut, group
         self.sequence = first_sequence
         self.waiting: list[tuple] = []
-        self.documents = 0
+        self.documents = self.held = 0
 
     def add(self, doc, ids: np.ndarray) -> Iterator[tuple]:
         whole = len(ids) // self.capacity * self.capacity
@@ -90,7 +94,8 @@ class Packer:
         for start in range(whole, len(ids), self.cut):
             self.waiting.append((doc, start, ids[start : start + self.cut], len(ids)))
         self.documents += whole < len(ids)
-        if self.documents >= self.group:
+        self.held += len(ids) - whole
+        if self.documents >= self.group and self.held >= FULL_WINDOWS * self.capacity:
             yield from self.flush()
 
     def flush(self) -> Iterator[tuple]:
@@ -102,7 +107,7 @@ class Packer:
                 yield doc, start, ids, total, self.sequence, offset
                 offset += len(ids)
             self.sequence += 1
-        self.waiting, self.documents = [], 0
+        self.waiting, self.documents, self.held = [], 0, 0
 
 
 def pack(
