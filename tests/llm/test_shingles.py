@@ -94,6 +94,13 @@ def test_keep_one_keeps_rows_and_columns(spark):
     assert got.where("doc_id IS NULL").count() == 1
 
 
+def test_keep_one_drops_rows_for_their_own_text(spark):
+    copied, other, third = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, copied, "a", 1), (2, copied, "b", 1), (2, other, "c", 1), (2, other, "c", 1), (2, None, "d", 1), (3, other + " end", "e", 1), (4, third, "f", 1)]
+    got = keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.n_shingles) for r in got) == [(1, "a"), (2, "c"), (2, "d"), (4, "f")]
+
+
 def test_size_bands_hold_every_similar_pair():
     for num, den in ((9, 10), (4, 5)):
         rule = Rule(3, num, den)

@@ -369,9 +369,25 @@ def _remaining(members: DataFrame, found: DataFrame, texts: DataFrame, rule: Rul
 def keep_one(docs: DataFrame, key: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The document with the smallest id of every component; rows with a null id stay.
 
-    Repeated rows with one id are reduced to one.
+    Repeated rows with one id and text are reduced to one. Rows with one id and different
+    texts are documents of their own, so each is dropped for its own text alone.
     """
+    digest = F.coalesce(F.unhex(F.md5(F.col(text_col).cast("binary"))), F.lit(b""))
+    named = docs.where(F.col(key).isNotNull())
+    texts = named.select(F.col(key).alias("id"), digest.alias("digest")).groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    if not texts.where("low <> high").isEmpty():
+        return _keep_one_text(docs, key, text_col, words, num, den)
     groups = similar_components(docs, key, text_col, words, num, den)
     kept = stored(groups.where(F.col(key) == F.col("component_id")).select(key).distinct(), "kept")
     named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
     return named.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
+
+
+def _keep_one_text(docs: DataFrame, key: str, text_col: str, words: int, num: int, den: int) -> DataFrame:
+    """``keep_one`` where ids repeat with other texts: rows are numbered and compared by number."""
+    named = docs.where(F.col(key).isNotNull()).dropDuplicates([key, text_col])
+    rows = stored(named.withColumn("row_number_", F.monotonically_increasing_id()), "numbered")
+    groups = similar_components(rows, "row_number_", text_col, words, num, den)
+    firsts = groups.join(rows.select("row_number_", key), "row_number_").groupBy("component_id").agg(F.min(F.struct(key, "row_number_")).alias("first"))
+    kept = stored(firsts.select("first.row_number_"), "kept")
+    return rows.join(kept, "row_number_", "left_semi").select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
