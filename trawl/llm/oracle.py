@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from trawl.llm.queries import SHARDS
+from trawl.llm.sharding import grown
+from trawl.llm.sharding_sql import sharding_sql
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 CHAT = r"""
@@ -121,4 +125,5 @@ ORACLE = {
     "op6_jaccard": SHINGLES,
     "op2_chat_round_trip": CHAT,
     "op9_decontaminate": CONTAMINATION,
+    "op13_sharding": sharding_sql(SHARDS, grown(SHARDS)),
 }

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import chat, decontaminate, jaccard, language, near_vectors, packing, pitman_yor, quality, token_files, warc
+from trawl.llm import chat, decontaminate, jaccard, language, near_vectors, packing, pitman_yor, quality, sharding, token_files, warc
 from trawl.llm.common import fold, table
 from trawl.storage import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 EXTRA_CONVERSATION = "<|im_end|><|im_start|>assistant ok"
+SHARDS = sharding.even_tree(40)
 
 
 def tokenizer_path() -> str:
@@ -93,6 +94,16 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.fit_and_score(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "shards")
+    schema = sharding.write_shards(table(spark, sf_dir, "documents"), folder, SHARDS)
+    back = sharding.read_shards(spark, folder, schema)
+    return back.select(
+        "doc_id", sharding.size_of(F.col("text")).alias("size"), sharding.checksum_of(F.col("text")).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot", sharding.place(F.col("doc_id"), sharding.grown(SHARDS)).alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_chat_round_trip": op2_chat_round_trip,
@@ -104,4 +115,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_pitman_yor": op10_pitman_yor,
+    "op13_sharding": op13_sharding,
 }
