@@ -119,11 +119,36 @@ nodes AS (SELECT doc_id AS node FROM documents),
 SELECT node AS doc_id, coalesce(n, 0) AS n_shingles, component_id FROM tops LEFT JOIN sizes ON doc_id = node
 """
 
+TERMS = rf"regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+docs AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM rows WHERE len(w) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM docs),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({TERMS}) AS term FROM benchmark) GROUP BY ALL),
+tf AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM rows)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term, docs
+),
+gains AS (
+    SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * totals.docs) // length))) AS gain
+    FROM tf JOIN docs USING (r) JOIN weights USING (term), totals
+),
+scores AS (SELECT item_id, r, doc_id, CAST(sum(times * gain) AS BIGINT) AS score FROM gains JOIN asked USING (term) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
+
 ORACLE = {
     "op1_near_vectors": VECTORS,
     "op4_warc": ARCHIVES,
     "op6_jaccard": SHINGLES,
     "op2_chat_round_trip": CHAT,
     "op9_decontaminate": CONTAMINATION,
+    "op12_lexical": LEXICAL,
     "op13_sharding": sharding_sql(SHARDS, grown(SHARDS)),
 }
