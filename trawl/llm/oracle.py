@@ -143,12 +143,47 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 WHERE rank <= 20
 """
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS r, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM (SELECT coalesce(lang, 'und') AS lang, {LOWER.format("coalesce(text, '')")} AS text FROM documents)
+),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM runs GROUP BY lang),
+grams AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM runs, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)
+    GROUP BY ALL HAVING count(*) >= 10
+),
+cuts AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM grams WHERE size > 1
+),
+weighed AS (
+    SELECT c.*, p.f AS l, q.f AS r,
+        CAST((1000000::HUGEINT * c.a * c.a) // (p.f::HUGEINT * q.f) AS BIGINT) AS score
+    FROM cuts c
+    JOIN grams p ON p.lang = c.lang AND p.phrase = array_to_string(w[1:k], ' ')
+    JOIN grams q ON q.lang = c.lang AND q.phrase = array_to_string(w[k + 1:], ' ')
+),
+weakest AS (SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+    SELECT lang, part, max(a) AS a FROM (
+        SELECT lang, f AS a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part
+        FROM (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE size = 3)
+    ) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM (SELECT x.* FROM weakest x LEFT JOIN held h ON h.lang = x.lang AND h.part = x.phrase WHERE h.a IS NULL OR 100 * h.a < 50 * x.a)
+JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op1_near_vectors": VECTORS,
     "op4_warc": ARCHIVES,
     "op6_jaccard": SHINGLES,
     "op2_chat_round_trip": CHAT,
     "op9_decontaminate": CONTAMINATION,
+    "op11_collocations": COLLOCATIONS,
     "op12_lexical": LEXICAL,
     "op13_sharding": sharding_sql(SHARDS, grown(SHARDS)),
 }

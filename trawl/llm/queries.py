@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import chat, decontaminate, jaccard, language, lexical, near_vectors, packing, pitman_yor, quality, sharding, token_files, warc
+from trawl.llm import chat, collocations, decontaminate, jaccard, language, lexical, near_vectors, packing, pitman_yor, quality, sharding, token_files, warc
 from trawl.llm.common import fold, table
 from trawl.storage import scratch_path
 
@@ -94,6 +94,10 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.fit_and_score(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -119,6 +123,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_pitman_yor": op10_pitman_yor,
+    "op11_collocations": op11_collocations,
     "op12_lexical": op12_lexical,
     "op13_sharding": op13_sharding,
 }
