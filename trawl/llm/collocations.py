@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,9 @@ from trawl.operators.keyed import BROADCAST_ROWS, is_small
 SHARD_WORDS = 2_000_000
 # Long texts are read in pieces of about this many bytes, cut at breaks.
 SEGMENT_BYTES = 4 << 20
+# Bits of the hashes of phrases; the fewer, the less is shuffled. Equal hashes of different
+# phrases only make candidates.
+HASH_BITS = 48
 # Most bits of a bitmap of candidates, 64 MB.
 MOST_BITS = 1 << 29
 # Languages whose sizes every task holds; shards of further ones report every phrase.
@@ -128,19 +132,19 @@ def word_hashes(lang: str, vocabulary: list[bytes]) -> np.ndarray:
 
 
 def mixed(*parts: np.ndarray) -> np.ndarray:
-    """One 64-bit hash of equally many hashes of words in order."""
+    """One hash of equally many hashes of words in order."""
     h = np.zeros(len(parts[0]), dtype=np.uint64)
     for part in parts:
         h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return h
+    return h >> np.uint64(64 - HASH_BITS)
 
 
 class Bitmap:
     """Whether a hash may be among the given ones."""
 
     def __init__(self, bits: np.ndarray, width: int) -> None:
-        self.bits, self.shift = bits, np.uint64(64 - width)
+        self.bits, self.shift = bits, np.uint64(HASH_BITS - width)
 
     def may_hold(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> self.shift
@@ -171,7 +175,7 @@ def bitmap_of(hashes: DataFrame) -> Bitmap:
         if now >= 0:
             yield packed()
 
-    at = F.shiftrightunsigned("h", 64 - width)
+    at = F.shiftrightunsigned("h", HASH_BITS - width)
     placed = hashes.select(at.alias("at"), F.shiftright(at, slice_bits).alias("slice")).repartition("slice").sortWithinPartitions("at").select("at")
     bits = np.zeros(1 << (width - 3), dtype=np.uint8)
     size = 1 << (slice_bits - 3)
@@ -193,7 +197,7 @@ class Shard:
 
     def pairs(self, words: Bitmap) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """First and second words, counts, and for each place its pair or -1."""
-        good = words.may_hold(self.hashes)
+        good = words.may_hold(mixed(self.hashes))
         good[0] = False
         held = good[self.numbers]
         at = np.flatnonzero(held[:-1] & held[1:])
@@ -230,7 +234,7 @@ def frequent_words(shards: DataFrame, least: int) -> DataFrame:
             counts = shard.word_counts()[1:]
             yield pa.RecordBatch.from_arrays([
                 pa.array([shard.lang] * len(counts), pa.string()), pa.array(shard.words[1:], pa.binary()).cast(pa.string()),
-                pa.array(shard.hashes[1:].astype(np.int64)), pa.array(counts),
+                pa.array(mixed(shard.hashes[1:]).astype(np.int64)), pa.array(counts),
             ], ["lang", "word", "h", "f"])
 
     rows = shards.mapInArrow(count, "lang string, word string, h long, f long")
@@ -284,13 +288,14 @@ def exact_counts(shards: DataFrame, least: int, words: Bitmap, pairs: Bitmap, tr
                 kept = np.flatnonzero(bitmap.may_hold(mixed(*[shard.hashes[p] for p in places])))
                 for i in range(0, len(kept), 100_000):
                     part = kept[i : i + 100_000]
-                    columns = [spelled.take(pa.array(p[part])) for p in places]
-                    columns += [pa.nulls(len(part), pa.string())] * (3 - len(columns))
-                    yield pa.RecordBatch.from_arrays([pa.array([shard.lang] * len(part), pa.string()), *columns, pa.array(counts[part])], ["lang", "w1", "w2", "w3", "a"])
-
-    rows = shards.mapInArrow(count, "lang string, w1 string, w2 string, w3 string, a long")
-    summed = rows.groupBy("lang", "w1", "w2", "w3").agg(F.sum("a").alias("a"))
-    return stored(summed.where(F.col("a") >= least), "phrases")
+                    phrase = pc.binary_join_element_wise(*[spelled.take(pa.array(p[part])) for p in places], " ")
+                    yield pa.RecordBatch.from_arrays([pa.array([shard.lang] * len(part), pa.string()), phrase, pa.array(counts[part])], ["lang", "phrase", "a"])
+
+    # No word holds a blank, so the words come back from the phrase.
+    rows = shards.mapInArrow(count, "lang string, phrase string, a long")
+    summed = rows.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    w = F.split("phrase", " ")
+    return stored(summed.select("lang", *[F.get(w, i).alias(f"w{i + 1}") for i in range(3)], "a"), "phrases")
 
 
 def _places(found: tuple) -> tuple[list, np.ndarray]:
