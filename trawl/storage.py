@@ -31,17 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
-def set_checkpoint_dir(spark: SparkSession) -> None:
-    """Point the context's checkpoints at the shared folder unless they have a place."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else writes to."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what follows starts from there."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """One spelling of a path: with scheme, absolute, without a trailing slash."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trawl.functions.analysis import analyze, strip_possessive, words
 from trawl.functions.scoring import Scorer, rounded
 from trawl.functions.stemming import stem_words
-from trawl.operators.features import matched_term_sums, pair_lengths
+from trawl.operators.features import MODEL_FEATURES, matched_term_sums, pair_lengths
 from trawl.operators.learning import LEARNERS
 from trawl.operators.postings import (
     approximate_vocabulary,
@@ -248,10 +248,15 @@ def judged_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def comparable_features(rows: DataFrame) -> DataFrame:
+    """Feature rows with their scores rounded as the SQL rounds them."""
+    return rows.withColumns({f: rounded(F.col(f), 6) for f in MODEL_FEATURES.values()})
+
+
 def features_of(split: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = fx.features(spark, sf_dir)
-        rows = split_features(table, fx.topics(spark, sf_dir), fx.SEED)[split]
+        rows = comparable_features(split_features(table, fx.topics(spark, sf_dir), fx.SEED)[split])
         return rows if split == "train" else rows.drop("label")
 
     return query
