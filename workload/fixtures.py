@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from trawl import build_index, open_index, update_index
 from trawl.functions.cleaning import TOPIC_PREAMBLES
+from trawl.functions.scoring import rounded
+from trawl.operators.features import MODEL_FEATURES
 from trawl.plans.indexing import Index
 from trawl.plans.learning import feature_table, fit_and_predict, split_features
 from trawl.plans.retrieval import retrieve
@@ -189,11 +191,21 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(made_once(spark, sf_dir, "features", make))
 
 
+def comparable_features(rows: DataFrame) -> DataFrame:
+    """Feature rows with their scores rounded as the SQL rounds them."""
+    return rows.withColumns({f: rounded(F.col(f), 6) for f in MODEL_FEATURES.values()})
+
+
+def comparable_splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Training and test rows that the SQL has as well."""
+    splits = split_features(features(spark, sf_dir), topics(spark, sf_dir), SEED)
+    return {name: comparable_features(rows) for name, rows in splits.items()}
+
+
 def predictions(spark: SparkSession, sf_dir: str, learner: str) -> DataFrame:
     """Predictions of one learner for both splits; fitted once."""
 
     def make(path: str) -> None:
-        splits = split_features(features(spark, sf_dir), topics(spark, sf_dir), SEED)
-        fit_and_predict(splits, learner, SEED, path)
+        fit_and_predict(comparable_splits(spark, sf_dir), learner, SEED, path)
 
     return spark.read.parquet(made_once(spark, sf_dir, learner, make))

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from trawl.functions.cleaning import TOPIC_PREAMBLES
 from trawl.functions.stemming import STEP_2, STEP_3, STEP_4
+from trawl.operators.features import FEATURES
 from workload.fixtures import MARKS, POOL_DEPTH, SEED, STOP_WORDS
-from workload.queries import BROWSE_SIZE, SHALLOW_K
+from workload.learner_sql import forest_sql, line_sql
+from workload.queries import BROWSE_SIZE, SHALLOW_K, SMALL_FORESTS
 from trawl.plans.retrieval import TOP_K
 
 
@@ -321,6 +323,23 @@ _LINES = (
 )
 _RUN_LINES = _with(["dense"], _LINES.format(ranked=_ranked(_ALL_SCORES, TOP_K, "model, qid")))
 
+_SPLITS = (
+    "train_rows AS MATERIALIZED (SELECT * FROM feature_rows WHERE qid NOT IN (SELECT qid FROM test_ids)),\n"
+    "test_rows AS MATERIALIZED (SELECT * FROM feature_rows WHERE qid IN (SELECT qid FROM test_ids))"
+)
+
+
+def _learned(tables: str, name: str) -> str:
+    """Ranked predictions of table ``name``, made by ``tables`` from the split rows."""
+    views = _with(["feature_rows", "test_ids"], "")
+    ranked = f"SELECT qid, docno, row_number() OVER (PARTITION BY qid ORDER BY prediction DESC, docno) AS rank, prediction FROM (SELECT qid, docno, round(prediction, 6) + 0.0 AS prediction FROM {name})"
+    return f"{views},\n{_SPLITS},\n{tables}\n{ranked}"
+
+
+def _small_forest(kind: str) -> str:
+    return _learned(forest_sql(SMALL_FORESTS[kind], "train_rows", "test_rows", [0, 1] if kind == "classifier" else None), "forest")
+
+
 ORACLE: dict[str, str] = {
     "ingest_tagged": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
     "ingest_upsert": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
@@ -414,4 +433,13 @@ ORACLE: dict[str, str] = {
         f"SELECT {_FEATURE_COLUMNS} FROM feature_rows"
         " WHERE qid IN (SELECT qid FROM test_ids)",
     ),
+    "ltr_linear_test": _learned(line_sql(FEATURES, "train_rows", "test_rows"), "line"),
+    "ltr_linear_train": _learned(line_sql(FEATURES, "train_rows", "train_rows"), "line"),
+    "ltr_small_classifier": _small_forest("classifier"),
+    "ltr_small_regressor": _small_forest("regressor"),
+    "ltr_small_run_files": " UNION ALL ".join(
+        f"SELECT '{kind}' AS learner, qid || ' Q0 ' || docno || ' ' || rank || ' ' || prediction::decimal(18, 6)::varchar || ' Exp' AS line"
+        f" FROM ({_small_forest(kind)})"
+        for kind in SMALL_FORESTS
+    ),
 }

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from trawl.functions.analysis import analyze, strip_possessive, words
 from trawl.functions.scoring import Scorer, rounded
 from trawl.functions.stemming import stem_words
-from trawl.operators.features import MODEL_FEATURES, matched_term_sums, pair_lengths
-from trawl.operators.learning import LEARNERS
+from trawl.operators import forest
+from trawl.operators.features import FEATURES, matched_term_sums, pair_lengths
+from trawl.operators.learning import LEARNERS, predict
 from trawl.operators.postings import (
     approximate_vocabulary,
     build_positions,
@@ -26,11 +27,10 @@ from trawl.operators.postings import (
 from trawl.operators.scoring import candidates, match_postings, rank_all
 from trawl.operators.splitting import held_out_topics, train_topics
 from trawl.plans.indexing import load_corpus
-from trawl.plans.learning import split_features
 from trawl.plans.retrieval import TOP_K, retrieve, weighed_terms
 from trawl.sinks.runfiles import run_line, write_runs
 from trawl.sources.lists import read_qrels, read_stop_list, read_topics
-from trawl.storage import scratch_path
+from trawl.storage import scratch_path, written
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,15 +248,9 @@ def judged_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def comparable_features(rows: DataFrame) -> DataFrame:
-    """Feature rows with their scores rounded as the SQL rounds them."""
-    return rows.withColumns({f: rounded(F.col(f), 6) for f in MODEL_FEATURES.values()})
-
-
 def features_of(split: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        table = fx.features(spark, sf_dir)
-        rows = comparable_features(split_features(table, fx.topics(spark, sf_dir), fx.SEED)[split])
+        rows = fx.comparable_splits(spark, sf_dir)[split]
         return rows if split == "train" else rows.drop("label")
 
     return query
@@ -265,12 +259,41 @@ def features_of(split: str) -> Query:
 def ranked_by(learner: str, split: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = fx.predictions(spark, sf_dir, learner).where(F.col("split") == split)
+        rows = rows.withColumn("prediction", rounded(F.col("prediction"), 6))
         ranked = rank_all(rows, ["qid"], "prediction", fx.index(spark, sf_dir).buckets)
         return ranked.select("qid", "docno", "rank", "prediction")
 
     return query
 
 
+# Forests that SQL can grow as well.
+SMALL_FORESTS = {
+    "classifier": forest.Plan(tuple(FEATURES), fx.SEED, trees=3, tries=3, depth=4),
+    "regressor": forest.Plan(tuple(FEATURES), fx.SEED, trees=3, tries=len(FEATURES), depth=4),
+}
+
+
+def small_forest(kind: str) -> Query:
+    """Test pairs ranked by a forest of a few shallow trees."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        splits = fx.comparable_splits(spark, sf_dir)
+        model = forest.fit(splits["train"], SMALL_FORESTS[kind], kind == "classifier")
+        rows = predict(model, splits["test"]).withColumn("prediction", rounded(F.col("prediction"), 6))
+        return rank_all(written(rows, "small-forest"), ["qid"], "prediction", fx.index(spark, sf_dir).buckets)
+
+    return query
+
+
+def small_forest_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run files of the small forests, written and read back."""
+    ranked = [small_forest(kind)(spark, sf_dir).withColumn("learner", F.lit(kind)) for kind in SMALL_FORESTS]
+    path = scratch_path(spark, "small-runs")
+    rows = reduce(DataFrame.unionByName, ranked).withColumn("score", F.col("prediction").cast("decimal(18,6)"))
+    write_runs(rows, path, ["learner"], "score")
+    return spark.read.text(path).select("learner", F.col("value").alias("line"))
+
+
 def ltr_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run files of every learner and split, written and read back."""
     rows = reduce(
@@ -332,4 +355,7 @@ QUERIES: dict[str, Query] = {
     "ltr_linear_test": ranked_by("linear", "test"),
     "ltr_linear_train": ranked_by("linear", "train"),
     "ltr_run_files": ltr_run_files,
+    "ltr_small_classifier": small_forest("classifier"),
+    "ltr_small_regressor": small_forest("regressor"),
+    "ltr_small_run_files": small_forest_run_files,
 }
