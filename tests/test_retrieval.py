@@ -60,6 +60,7 @@ def test_salted_matching_gives_the_same_scores(spark, index, monkeypatch, salt_r
     topics = make_topics(spark)
     expected = as_dict(retrieve(index, topics))
     monkeypatch.setattr(scoring, "SALT_ROWS", salt_rows)
+    monkeypatch.setattr(scoring, "TOPIC_ROWS", min(salt_rows, 1000))
     monkeypatch.setattr(scoring, "BROADCAST_ROWS", 0)
     got = as_dict(retrieve(index, topics))
     assert got.keys() == expected.keys()
@@ -73,7 +74,46 @@ def test_many_terms_are_not_pushed_but_still_joined(spark, index, monkeypatch):
     assert as_dict(retrieve(index, make_topics(spark))) == expected
 
 
-def test_sliced_cut_equals_the_plain_one(spark, monkeypatch):
+def test_cells_of_a_hot_term_are_bounded(spark, monkeypatch):
+    """One term that all documents hold and very many topics ask for."""
+    monkeypatch.setattr(scoring, "SALT_ROWS", 2000)
+    monkeypatch.setattr(scoring, "TOPIC_ROWS", 50)
+    postings = spark.range(3000).select(F.format_string("d%d", "id").alias("docno"), F.lit("hot").alias("term"), F.lit(1).alias("tf"))
+    postings = postings.unionByName(postings.limit(3).withColumn("term", F.lit("rare")))
+    weighed = spark.range(400).select(F.col("id").cast("int").alias("qid"), F.lit("hot").alias("term"), F.lit(1).alias("qtf"), F.lit(3000).alias("df"), F.lit(3000).alias("ttf"))
+    weighed = weighed.unionByName(spark.createDataFrame([(1, "rare", 1, 3, 3)], weighed.schema))
+    left, right = scoring.into_cells(postings, weighed)
+    cell = ["term", "salt", "topic_salt"]
+    sizes = left.groupBy(*cell).count().join(right.groupBy(*cell).agg(F.count("*").alias("topics")), cell)
+    rows = sizes.withColumn("matches", F.col("count") * F.col("topics")).collect()
+    assert len(rows) > 400 and max(r.matches for r in rows if r.term == "hot") < 3 * 2000
+    assert sum(r.matches for r in rows) == 3000 * 400 + 3
+    matched = scoring.salted_match(postings, weighed)
+    assert matched.count() == matched.select("qid", "docno", "term").distinct().count() == 3000 * 400 + 3
+
+
+def test_bins_never_fall(spark):
+    values = sorted([0.0, -0.0, 1e-300, -1e-300, 5e-7, -5e-7, 1e300, -1e300, *(x * s / 7 for x in range(1, 500) for s in (-1.0, 1.0))])
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    bins = [r.b for r in table.orderBy("i").select(scoring.score_bin(F.col("v")).alias("b")).collect()]
+    assert bins == sorted(bins) and len(set(bins)) > 400
+
+
+def test_few_rows_below_the_bar_are_shuffled(spark):
+    hits = spark.range(200_000).select(
+        F.lit("m").alias("model"), (F.col("id") % 2).cast("int").alias("qid"), F.format_string("d%07d", "id").alias("docno"),
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1000.0 - 300).alias("place"),
+    ).unionByName(spark.createDataFrame([("m", 9, "x", 1.0)], "model string, qid int, docno string, place double"))
+    kept = scoring.above_bars(hits, ["model", "qid"], "place", 500)
+    counts = {r.qid: r["count"] for r in kept.groupBy("qid").count().collect()}
+    assert counts[9] == 1 and all(500 <= counts[q] < 3000 for q in (0, 1))
+    best = hits.where("qid = 0").orderBy(F.desc("place")).limit(500)
+    assert best.join(kept, ["qid", "docno"], "left_anti").count() == 0
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_cut_above_bars_equals_the_plain_one(spark, monkeypatch):
     scored = spark.range(3000).select(
         (F.col("id") % 3).cast("int").alias("qid"),
         F.format_string("d%05d", F.col("id")).alias("docno"),
@@ -82,8 +122,8 @@ def test_sliced_cut_equals_the_plain_one(spark, monkeypatch):
     )
     plain = as_dict(scoring.rank_hits(scored, ["a", "b"], 50, parts=16))
     monkeypatch.setattr(scoring, "TOP_K_GROUP_ROWS", 10)
-    sliced = scoring.rank_hits(scored, ["a", "b"], 50, parts=16)
-    assert as_dict(sliced) == plain and len(plain) == 300
+    barred = scoring.rank_hits(scored, ["a", "b"], 50, parts=16)
+    assert as_dict(barred) == plain and len(plain) == 300
 
 
 def test_the_cut_is_taken_before_the_shuffle(spark, index):

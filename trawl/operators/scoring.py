@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.scoring import Collection, Scorer, rounded
 from trawl.operators.keyed import BROADCAST_ROWS, is_small
-from trawl.storage import scratch_path
+from trawl.storage import scratch_path, written
 
 PUSHED_TERMS = 500
+# Matches, and topics, of one cell of a salted term.
 SALT_ROWS = 5_000_000
+TOPIC_ROWS = 1000
 TOP_K_GROUP_ROWS = 2_000_000
+# Bins of scores per doubling; the offset keeps those of positive scores above zero.
+BINS = 64
+BIN_OFFSET = 100_000
 
 
 def weigh_topic_terms(topic_terms: DataFrame, terms: DataFrame) -> DataFrame:
@@ -54,21 +57,37 @@ def match_postings(
 
 
 def salted_match(postings: DataFrame, weighed: DataFrame) -> DataFrame:
-    """Shuffle join on (term, salt): a term gets one salt per ``SALT_ROWS`` postings.
+    """Shuffle join on (term, cell): the matches of a term are laid out as a grid of cells,
+    salts of its postings by salts of its topics, of ``SALT_ROWS`` matches about."""
+    left, right = into_cells(postings, weighed)
+    cell = ["term", "salt", "topic_salt"]
+    return left.join(right, cell).drop("salt", "topic_salt")
+
+
+def into_cells(postings: DataFrame, weighed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join by ``term, salt, topic_salt``.
 
-    The terms with more than one salt are broadcast to the postings. There can be no
-    more of them than all postings divided by ``SALT_ROWS``.
+    A posting goes to one salt and there to every topic salt, a topic's term to one topic
+    salt and there to every salt. Terms of a single cell are left alone; those with more
+    are at most all matches divided by ``SALT_ROWS``, and are broadcast after a count.
     """
-    salts = F.ceil(F.col("df") / SALT_ROWS)
-    frequent = weighed.where(F.col("df") > SALT_ROWS).select("term", salts.alias("salts"))
-    spread = postings.join(F.broadcast(frequent.distinct()), "term", "left").withColumn(
-        "salt",
-        F.coalesce(F.pmod(F.xxhash64("docno"), "salts"), F.lit(0).cast("long")),
-    )
-    copies = weighed.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1))
+    topics = F.count("*")
+    topic_salts = F.ceil(topics / TOPIC_ROWS)
+    salts = F.ceil(F.max("df") * F.least(topics, F.lit(TOPIC_ROWS)) / SALT_ROWS)
+    grid = weighed.groupBy("term").agg(salts.alias("salts"), topic_salts.alias("topic_salts"))
+    grid = grid.where("salts > 1 OR topic_salts > 1")
+    if is_small(grid, BROADCAST_ROWS):
+        grid = F.broadcast(grid)
+
+    def laid_out(rows: DataFrame, own: str, key: str, other: str, numbers: tuple[str, str]) -> DataFrame:
+        count, copies = (F.coalesce(F.col(n), F.lit(1)).cast("long") for n in numbers)
+        spread = rows.join(grid, "term", "left").withColumn(own, F.pmod(F.xxhash64(key), count))
+        return spread.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).drop("salts", "topic_salts")
+
+    return (
+        laid_out(postings, "salt", "docno", "topic_salt", ("salts", "topic_salts")),
+        laid_out(weighed, "topic_salt", "qid", "salt", ("topic_salts", "salts")),
     )
-    return spread.drop("salts").join(copies, ["term", "salt"]).drop("salt")
 
 
 def candidates(matches: DataFrame) -> DataFrame:
@@ -147,8 +166,7 @@ def rank_hits(
 
     Each task keeps at most ``k`` rows per group before the shuffle. From ``parts``
     buckets one group still receives up to ``parts * k`` rows; when that is too many for
-    one task, a first cut by slices comes before the final one. A slice is a set of
-    whole buckets, so slicing does not let more rows through the first shuffle.
+    one task, rows that cannot be among the best are left out first (``above_bars``).
     """
     _raise_setting(scored.sparkSession, "spark.sql.optimizer.windowGroupLimitThreshold", k)
     hits = scored.unpivot(["qid", "docno"], models, "model", "score")
@@ -159,11 +177,7 @@ def rank_hits(
     hits = hits.withColumn("place", place)
     order = [F.desc("place"), F.asc("docno")]
     if parts * k > TOP_K_GROUP_ROWS:
-        slices = math.isqrt(parts) + 1
-        hits = hits.withColumn("slice", F.pmod(bucket_of("docno", parts), F.lit(slices)))
-        by_slice = Window.partitionBy("model", "qid", "slice").orderBy(*order)
-        hits = hits.withColumn("rank", F.row_number().over(by_slice))
-        hits = hits.where(F.col("rank") <= k).drop("rank", "slice")
+        hits = above_bars(hits, ["model", "qid"], "place", k)
     best_first = Window.partitionBy("model", "qid").orderBy(*order)
     top = hits.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
     return top.where(F.col("score") != 0).select(
@@ -172,6 +186,28 @@ def rank_hits(
     )
 
 
+def score_bin(score: Column) -> Column:
+    """A number that never falls as the score rises: ``BINS`` steps per doubling."""
+    step = F.floor(F.log2(F.abs(score)) * BINS) + BIN_OFFSET
+    return F.when(score > 0, step).when(score < 0, -step).otherwise(F.lit(0).cast("long"))
+
+
+def above_bars(hits: DataFrame, group: list[str], score: str, k: int) -> DataFrame:
+    """Rows in reach of the best ``k`` of their group: all of these, and few others.
+
+    A first pass over ``hits`` counts each group's rows by bins of the score, reduced in
+    every task. The highest bin that ``k`` rows reach is the group's bar; groups of fewer
+    rows have none. The second pass drops what lies below its bar before any shuffle.
+    """
+    binned = hits.groupBy(*group, score_bin(F.col(score)).alias("bin")).count()
+    downwards = Window.partitionBy(*group).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = binned.withColumn("reached", F.sum("count").over(downwards)).where(F.col("reached") >= k)
+    bars = written(reached.groupBy(*group).agg(F.max("bin").alias("bar")), "bars")
+    side = F.broadcast(bars) if is_small(bars, BROADCAST_ROWS) else bars
+    near = hits.join(side, group, "left")
+    return near.where(F.col("bar").isNull() | (score_bin(F.col(score)) >= F.col("bar"))).drop("bar")
+
+
 def rank_all(predictions: DataFrame, group: list[str], score: str, parts: int) -> DataFrame:
     """Rank every row of each group by descending ``score``; ties by document id.
 

@@ -163,7 +163,7 @@ def matched_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = fx.index(spark, sf_dir)
     pairs = fx.qrels(spark, sf_dir).select("qid", "docno")
     weighed = weighed_terms(index, fx.topics(spark, sf_dir))
-    sums = matched_term_sums(pairs, weighed, index.postings)
+    sums = matched_term_sums(pairs, weighed, index.postings, index.buckets)
     return pairs.join(sums, ["qid", "docno"], "left").na.fill(0)
 
 
