@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from small import make_index, make_topics
 
-from trawl import build_index, open_index, storage, update_index
+from trawl import build_index, open_index, retrieve, storage, update_index
 from trawl.operators import postings as postings_module
 from trawl.operators.postings import (
     approximate_vocabulary,
@@ -132,23 +132,61 @@ def test_index_of_tagged_files(spark, tmp_path, rows):
     assert rows(index.terms, "term") == [("dog",), ("run",)]
 
 
+@pytest.mark.parametrize("merge", [None, True, False])
 @pytest.mark.parametrize("bound", [0, 1_000_000])
-def test_update_replaces_and_adds(spark, index, rows, tmp_path, monkeypatch, bound):
+def test_update_replaces_and_adds(spark, index, rows, tmp_path, monkeypatch, bound, merge):
     monkeypatch.setattr(indexing, "BROADCAST_ROWS", bound)
     raw = spark.createDataFrame(
         [("d1", "grape grape"), ("d5", "apple")], "docno string, text string"
     )
-    updated = update_index(index, raw, str(tmp_path / "new"))
+    updated = update_index(index, raw, str(tmp_path / "new"), merge=merge)
+    assert updated.segments == (1 if merge is False else 0)
     assert rows(updated.documents, "docno", "doclength") == [
         ("d1", 2), ("d2", 5), ("d3", 2), ("d4", 0), ("d5", 1),
     ]
     assert ("apple", 2, 2) in rows(updated.terms) and ("grape", 1, 2) in rows(updated.terms)
     assert updated.collection().vocab == 7
-    assert "Exchange" not in executed_plan(updated.postings.groupBy("docno").count())
+    assert "Exchange hashpartitioning" not in executed_plan(updated.postings.groupBy("docno").count())
     with pytest.raises(ValueError):
         update_index(index, raw, index.path)
 
 
+def test_segments_upon_segments_equal_a_whole_index(spark, tmp_path, rows):
+    """Three updates: replaced, added, emptied and replaced again; terms vanish and return."""
+    state = {f"d{i}": f"common w{i} w{i % 3}" for i in range(30)}
+    updates = [
+        {"d1": "w2 new", "d40": "common common"}, {"d1": "", "d2": "only here", "d41": "w1"}, {"d2": "w29 w2", "d40": "gone w1"},
+    ]
+    index = make_index(spark, str(tmp_path / "base"), state, buckets=3)
+    for i, batch in enumerate(updates):
+        state |= batch
+        index = update_index(index, spark.createDataFrame(list(batch.items()), "docno string, text string"), str(tmp_path / f"u{i}"), merge=False)
+        # Nothing but the update is written.
+        assert spark.read.parquet(f"{index.path}/documents").count() == len(batch)
+        assert spark.read.parquet(f"{index.path}/postings").count() < 3 * len(batch) + 1
+    whole = make_index(spark, str(tmp_path / "whole"), state, buckets=3)
+    merged = indexing.merge_segments(index, str(tmp_path / "merged"))
+    assert index.segments == 3 and merged.segments == 0
+    for found in (index, merged, open_index(spark, index.path)):
+        for table in ("documents", "postings", "terms", "stats"):
+            want = getattr(whole, table)
+            assert rows(getattr(found, table), *want.columns) == rows(want)
+    assert "Exchange hashpartitioning" not in executed_plan(index.postings.groupBy("docno").count())
+    topics = make_topics(spark, {1: "common w1", 2: "w2 here", 3: "new"})
+    hits = [rows(retrieve(i, topics, k=5), "model", "qid", "docno", "rank") for i in (index, whole)]
+    assert hits[0] == hits[1]
+
+
+def test_sketches_of_segments_are_united(spark, tmp_path):
+    index = make_index(spark, str(tmp_path / "a"), {"d": " ".join(f"w{i}" for i in range(5000))}, buckets=2)
+    assert abs(indexing.sketched_vocabulary(index).first().vocab - 5000) < 150
+    batch = spark.createDataFrame([("e", " ".join(f"w{i}" for i in range(4000, 9000)))], "docno string, text string")
+    updated = update_index(index, batch, str(tmp_path / "b"), merge=False)
+    merged = indexing.merge_segments(updated, str(tmp_path / "c"))
+    sizes = [indexing.sketched_vocabulary(i).first().vocab for i in (updated, merged)]
+    assert all(abs(size - 9000) < 300 for size in sizes)
+
+
 def test_the_last_of_repeated_ids_counts(spark, tmp_path, rows):
     raw = spark.createDataFrame(
         [("d1", "old", 1), ("d1", "new word", 2), ("d2", "two", 1)], "docno string, text string, v int"
@@ -160,7 +198,7 @@ def test_the_last_of_repeated_ids_counts(spark, tmp_path, rows):
     assert rows(second.documents, "docno", "doclength") == [("d1", 2), ("d2", 3)]
     assert second.collection().n_docs == 2
     with pytest.raises(ValueError):
-        update_index(first, batch, str(tmp_path / "c"))
+        update_index(first, batch, str(tmp_path / "c"), merge=False)
 
 
 def test_an_index_rebuilt_elsewhere_with_other_buckets_is_read_whole(spark, tmp_path):

@@ -5,6 +5,12 @@ buckets, postings sorted by term inside each file. The documents' text is shuffl
 when it is written; everything keyed by document afterwards (postings, scores per topic
 and document, joins with document lengths) reads the buckets and needs no exchange. The
 only other shuffle is the per-term aggregate, which is reduced in each task first.
+
+Updates. An update writes a segment: its documents and postings in the same buckets, the
+ids that it replaces, and the changes of the term statistics. The earlier tables stay as
+they are and are read with the replaced ids left out; a union of tables bucketed alike
+needs no exchange either. Once segments are many or large, an update writes one whole
+index instead.
 """
 
 from __future__ import annotations
@@ -28,6 +34,11 @@ from trawl.sources.corpus import keep_documents, read_blocks
 from trawl.storage import drop_tables, open_bucketed, scratch_path, write_bucketed
 
 DOCUMENTS_PER_BUCKET = 500_000
+# An update merges all segments beyond so many, or if it replaces or adds this share.
+MOST_SEGMENTS = 8
+MERGE_SHARE = 0.2
+# Registers of the stored vocabulary sketch are 2 to this power: a standard error of 0.7 %.
+SKETCH_LG = 14
 
 
 @dataclass(frozen=True)
@@ -42,11 +53,20 @@ class Index:
     stop_words: list[str]
     stem: bool
     buckets: int
+    segments: int = 0
 
     @property
     def spark(self) -> SparkSession:
         return self.documents.sparkSession
 
+    def sketches(self) -> DataFrame:
+        """``sketch``: of the vocabulary of the whole index and of each segment."""
+        paths, path = [], self.path
+        while path:
+            paths.append(f"{path}/sketch")
+            path = _settings(self.spark, path).base
+        return self.spark.read.schema("sketch binary").parquet(*paths)
+
     def collection(self) -> Collection:
         """The statistics row as numbers, to be folded into scoring expressions."""
         row = self.stats.first()
@@ -98,33 +118,83 @@ def _fail_on_repeated_ids(documents: DataFrame) -> None:
         raise ValueError(f"{repeated.docno} occurs {repeated['count']} times; name the column that orders them")
 
 
-def update_index(index: Index, raw: DataFrame, path: str, order: str | None = None) -> Index:
-    """Write a new index under ``path``: ``index`` with the ``docno, text`` rows of
-    ``raw`` added, replacing the documents of the same id. Repeated ids within ``raw``
-    are treated as ``build_index`` treats them.
+def update_index(
+    index: Index, raw: DataFrame, path: str, order: str | None = None, merge: bool | None = None
+) -> Index:
+    """A new index under ``path``: ``index`` with the ``docno, text`` rows of ``raw``
+    added, replacing the documents of the same id. Repeated ids within ``raw`` are treated
+    as ``build_index`` treats them.
 
-    Only new documents are analyzed. Old documents and postings are filtered in their
-    buckets; files cannot be changed in place, so they are written anew.
+    Only new documents are analyzed. By default they make a segment upon ``index``, whose
+    files have to stay; what is written is in proportion to the update. With ``merge``,
+    or after many or large segments, the new index stands alone.
     """
     if path.rstrip("/") == index.path.rstrip("/"):
         raise ValueError("an index cannot be updated in its own place")
     spark, n = index.spark, index.buckets
-    fresh = clean_documents(_last_by(raw, order).repartition(n, "docno"), index.stop_words).persist()
-    _fail_on_repeated_ids(fresh)
-    ids = fresh.select("docno")
-    if is_small(ids, BROADCAST_ROWS):
-        ids = F.broadcast(ids)
-    for table, old, new, sort in (
-        ("documents", index.documents, fresh, "docno"),
-        ("postings", index.postings, build_postings(fresh, index.stop_words, index.stem), "term"),
-    ):
-        kept = old.join(ids, "docno", "left_anti")
-        write_bucketed(kept.unionByName(new), path, table, n, "docno", sort)
-    fresh.unpersist()
+    if merge is None:
+        merge = index.segments >= MOST_SEGMENTS or raw.count() > MERGE_SHARE * index.collection().n_docs
+    if merge:
+        return merge_segments(update_index(index, raw, scratch_path(spark, "segment"), order, merge=False), path)
+    fresh = clean_documents(_last_by(raw, order).repartition(n, "docno"), index.stop_words)
+    documents = write_bucketed(fresh, path, "documents", n, "docno", "docno")
+    _fail_on_repeated_ids(documents)
+    postings = write_bucketed(
+        build_postings(documents, index.stop_words, index.stem), path, "postings", n, "docno", "term"
+    )
+    removed = write_bucketed(
+        index.documents.join(documents.select("docno"), "docno", "left_semi").select("docno", "doclength"),
+        path, "removed", n, "docno", "docno",
+    )
+    _write_changes(index, documents, postings, removed, path)
+    _write_settings(spark, path, n, index.stem, index.stop_words, index.path, index.segments + 1)
+    return open_index(spark, path)
+
+
+def _write_changes(index: Index, documents: DataFrame, postings: DataFrame, removed: DataFrame, path: str) -> None:
+    """Statistics after an update, by taking off what goes and adding what comes."""
+    spark = index.spark
+    gone = index.postings.join(removed.select("docno"), "docno", "left_semi")
+    signed = postings.select("term", "tf", F.lit(1).alias("sign")).unionByName(gone.select("term", "tf", F.lit(-1).alias("sign")))
+    summed = signed.groupBy("term").agg(
+        F.sum("sign").alias("df"), F.sum(F.col("tf") * F.col("sign")).alias("ttf"), F.max("sign").alias("comes")
+    )
+    summed.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/changes")
+    changes = spark.read.parquet(f"{path}/changes")
+    _write_sketch(changes.where("comes > 0"), path)
+    side = changes.select("term", F.col("df").alias("more"))
+    before = index.terms.join(F.broadcast(side) if is_small(side, BROADCAST_ROWS) else side, "term")
+    known = before.agg(F.count("*").alias("old"), F.sum(F.when(F.col("df") + F.col("more") <= 0, 1).otherwise(0)).alias("lost")).first()
+    came, went = (d.agg(F.count("*").alias("n"), F.coalesce(F.sum("doclength"), F.lit(0)).alias("dl")).first() for d in (documents, removed))
+    was = index.collection()
+    n_docs, sum_dl = was.n_docs + came.n - went.n, was.sum_dl + came.dl - went.dl
+    vocab = was.vocab + changes.count() - known.old - (known.lost or 0)
+    row = (n_docs, sum_dl / n_docs if n_docs else None, sum_dl, vocab)
+    spark.createDataFrame([row], schemas.STATS).write.mode("overwrite").parquet(f"{path}/stats")
+
+
+def merge_segments(index: Index, path: str) -> Index:
+    """The same index under ``path`` as one, without segments. Nothing is analyzed again."""
+    spark, n = index.spark, index.buckets
+    write_bucketed(index.documents, path, "documents", n, "docno", "docno")
+    write_bucketed(index.postings, path, "postings", n, "docno", "term")
     _write_settings(spark, path, n, index.stem, index.stop_words)
     return refresh_statistics(spark, path)
 
 
+def _write_sketch(terms: DataFrame, path: str) -> None:
+    sketch = terms.agg(F.hll_sketch_agg("term", F.lit(SKETCH_LG)).alias("sketch"))
+    sketch.write.mode("overwrite").parquet(f"{path}/sketch")
+
+
+def sketched_vocabulary(index: Index) -> DataFrame:
+    """Vocabulary size by the stored sketches: no postings or terms are read.
+
+    After updates it counts every term that was ever indexed since the last merge.
+    """
+    return index.sketches().agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("vocab"))
+
+
 def refresh_statistics(spark: SparkSession, path: str) -> Index:
     """Compute term and collection statistics from the written tables."""
     documents, postings = _open_tables(spark, path, _settings(spark, path).buckets)
@@ -135,7 +205,9 @@ def refresh_statistics(spark: SparkSession, path: str) -> Index:
         .write.mode("overwrite")
         .parquet(terms_path)
     )
-    vocab = exact_vocabulary(spark.read.schema(schemas.TERMS).parquet(terms_path)).first()
+    terms = spark.read.schema(schemas.TERMS).parquet(terms_path)
+    _write_sketch(terms, path)
+    vocab = exact_vocabulary(terms).first()
     (
         length_statistics(documents)
         .withColumn("vocab", F.lit(vocab.vocab).cast("long"))
@@ -181,30 +253,48 @@ def open_index(spark: SparkSession, path: str) -> Index:
     """Open an index written earlier, possibly by another session."""
     settings = _settings(spark, path)
     documents, postings = _open_tables(spark, path, settings.buckets)
+    stats = spark.read.schema(schemas.STATS).parquet(f"{path}/stats")
+    if settings.base:
+        base = open_index(spark, settings.base)
+        removed = open_bucketed(spark, path, "removed", schemas.REMOVED, settings.buckets, "docno", "docno").select("docno")
+        documents = base.documents.join(removed, "docno", "left_anti").unionByName(documents)
+        postings = base.postings.join(removed, "docno", "left_anti").unionByName(postings)
+        changes = spark.read.schema(schemas.TERMS).parquet(f"{path}/changes")
+        summed = base.terms.unionByName(changes).groupBy("term").agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+        terms = summed.where("df > 0")
+    else:
+        terms = spark.read.schema(schemas.TERMS).parquet(f"{path}/terms")
     return Index(
         path=path,
         documents=documents,
         postings=postings,
-        terms=spark.read.schema(schemas.TERMS).parquet(f"{path}/terms"),
-        stats=spark.read.schema(schemas.STATS).parquet(f"{path}/stats"),
+        terms=terms,
+        stats=stats,
         stop_words=list(settings.stop_words),
         stem=settings.stem,
         buckets=settings.buckets,
+        segments=settings.segments,
     )
 
 
 def forget_index(spark: SparkSession, path: str) -> None:
-    """Remove the index tables from the catalog."""
-    drop_tables(spark, path, ("documents", "postings"))
+    """Remove the tables of the index and of what it is a segment upon from the catalog."""
+    base = _settings(spark, path).base
+    drop_tables(spark, path, ("documents", "postings", "removed"))
+    if base:
+        forget_index(spark, base)
 
 
 def _write_settings(
-    spark: SparkSession, path: str, buckets: int, stem: bool, stop_words: list[str]
+    spark: SparkSession, path: str, buckets: int, stem: bool, stop_words: list[str],
+    base: str | None = None, segments: int = 0,
 ) -> None:
     settings = spark.range(1).select(
         F.lit(buckets).alias("buckets"),
         F.lit(stem).alias("stem"),
         F.array(*[F.lit(w) for w in stop_words]).cast("array<string>").alias("stop_words"),
+        F.lit(base).cast("string").alias("base"),
+        F.lit(segments).alias("segments"),
     )
     settings.write.mode("overwrite").parquet(f"{path}/settings")
 

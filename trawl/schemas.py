@@ -15,6 +15,11 @@ POSTINGS = T.StructType([
     T.StructField("tf", T.LongType()),
 ])
 
+REMOVED = T.StructType([
+    T.StructField("docno", T.StringType(), False),
+    T.StructField("doclength", T.LongType()),
+])
+
 TERMS = T.StructType([
     T.StructField("term", T.StringType(), False),
     T.StructField("df", T.LongType()),

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl import build_index, open_index, update_index
+from trawl import build_index, merge_segments, open_index, update_index
 from trawl.functions.cleaning import TOPIC_PREAMBLES
 from trawl.functions.scoring import rounded
 from trawl.operators.features import MODEL_FEATURES
@@ -84,11 +84,17 @@ def revised_index(spark: SparkSession, sf_dir: str) -> Index:
     batch = revised.withColumn("version", F.lit(2)).unionByName(outdated)
     path = made_once(
         spark, sf_dir, "revised",
-        lambda p: update_index(index(spark, sf_dir), batch, p, order="version"),
+        lambda p: update_index(index(spark, sf_dir), batch, p, order="version", merge=False),
     )
     return open_index(spark, path)
 
 
+def merged_index(spark: SparkSession, sf_dir: str) -> Index:
+    """The revised index with its segment merged."""
+    path = made_once(spark, sf_dir, "merged", lambda p: merge_segments(revised_index(spark, sf_dir), p))
+    return open_index(spark, path)
+
+
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics for retrieval: the whole benchmark text."""
     items = table(spark, sf_dir, "benchmark")

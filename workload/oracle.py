@@ -305,8 +305,8 @@ def _with(views: list[str], select: str, source: str = "documents") -> str:
     return f"WITH {body}\n{select}"
 
 
-def _retrieved(model: str, k: int) -> str:
-    return _with(["dense"], _ranked(_scores(model), k))
+def _retrieved(model: str, k: int, source: str = "documents") -> str:
+    return _with(["dense"], _ranked(_scores(model), k), source)
 
 
 _FEATURE_COLUMNS = 'qid, docno, "DL", "JM", tf_idf, laplace, okapi_bm, okapi_tf, sum_df, sum_tf, sum_ttf'
@@ -347,6 +347,12 @@ ORACLE: dict[str, str] = {
         ["lengths"], "SELECT docno, dl AS doclength FROM lengths", _REVISED
     ),
     "reindex_term_stats": _with(["terms"], "SELECT term, df, ttf FROM terms", _REVISED),
+    "reindex_merged_lengths": _with(
+        ["lengths"], "SELECT docno, dl AS doclength FROM lengths", _REVISED
+    ),
+    "reindex_merged_term_stats": _with(["terms"], "SELECT term, df, ttf FROM terms", _REVISED),
+    "reindex_retrieve": _retrieved("okapi_bm", SHALLOW_K, _REVISED),
+    "vocab_sketched": _with(["terms"], "SELECT count(*) AS vocab, true AS close FROM terms", _REVISED),
     "topic_parse": (
         f"SELECT item_id::integer AS qid, {_clean_topic('part')} AS text FROM (SELECT item_id,"
         f" string_split(item_id || '.' || {_PREAMBLE} || replace(text, chr(10), ' '), '.')[2]"

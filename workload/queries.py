@@ -26,7 +26,7 @@ from trawl.operators.postings import (
 )
 from trawl.operators.scoring import candidates, match_postings, rank_all
 from trawl.operators.splitting import held_out_topics, train_topics
-from trawl.plans.indexing import load_corpus
+from trawl.plans.indexing import load_corpus, sketched_vocabulary
 from trawl.plans.retrieval import TOP_K, retrieve, weighed_terms
 from trawl.sinks.runfiles import run_line, write_runs
 from trawl.sources.lists import read_qrels, read_stop_list, read_topics
@@ -59,6 +59,35 @@ def reindex_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.revised_index(spark, sf_dir).terms
 
 
+def merged_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.merged_index(spark, sf_dir).documents.select("docno", "doclength")
+
+
+def merged_term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.merged_index(spark, sf_dir).terms
+
+
+def reindex_retrieve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrieval from an index with a segment upon it."""
+    hits = retrieve(fx.revised_index(spark, sf_dir), fx.topics(spark, sf_dir), ["okapi_bm"], SHALLOW_K)
+    return comparable(hits).drop("model")
+
+
+def vocab_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact size after an update, and whether the stored sketches are within five
+    percent of it."""
+    index = fx.revised_index(spark, sf_dir)
+    sketch = sketched_vocabulary(index).withColumnRenamed("vocab", "sketch")
+    return close_to_exact(sketch, exact_vocabulary(index.terms))
+
+
+def close_to_exact(sketch: DataFrame, exact: DataFrame) -> DataFrame:
+    return sketch.withColumn("vocab", exact.scalar()).select(
+        "vocab",
+        (F.abs(F.col("sketch") - F.col("vocab")) <= 0.05 * F.col("vocab")).alias("close"),
+    )
+
+
 def judged_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = fx.qrels(spark, sf_dir)
     raw = load_corpus(spark, fx.tagged_files(spark, sf_dir), only=judged)
@@ -103,12 +132,8 @@ def vocab_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vocab_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact size, and whether the sketch is within five percent of it."""
     index = fx.index(spark, sf_dir)
-    exact = exact_vocabulary(index.terms).scalar()
     sketch = approximate_vocabulary(index.postings).withColumnRenamed("vocab", "sketch")
-    return sketch.withColumn("vocab", exact).select(
-        "vocab",
-        (F.abs(F.col("sketch") - F.col("vocab")) <= 0.05 * F.col("vocab")).alias("close"),
-    )
+    return close_to_exact(sketch, exact_vocabulary(index.terms))
 
 
 def analyze_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,6 +337,9 @@ QUERIES: dict[str, Query] = {
     "ingest_upsert": ingest_upsert,
     "reindex_lengths": reindex_lengths,
     "reindex_term_stats": reindex_term_stats,
+    "reindex_merged_lengths": merged_lengths,
+    "reindex_merged_term_stats": merged_term_stats,
+    "reindex_retrieve": reindex_retrieve,
     "topic_parse": topic_parse,
     "qrels_parse": qrels_parse,
     "browse_docs": browse_docs,
@@ -321,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "length_stats": length_stats,
     "vocab_exact": vocab_exact,
     "vocab_approx": vocab_approx,
+    "vocab_sketched": vocab_sketched,
     "analyze_tokens": analyze_tokens,
     "stem_vocab": stem_vocab,
     "query_terms": query_terms,
