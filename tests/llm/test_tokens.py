@@ -14,6 +14,7 @@ from trawl.llm.token_files import ShardReader, read_token_files, write_token_fil
 SCHEMA = "doc_id long, text string, start string, ids int"
 TEXTS = [
     "One two, three.", "", None, "  leading and   inner  blanks \n\n\t x ", "don't 1234 — ünïcode 日本語 \U0001F600!", "<|endoftext|> <s> </s>",
+    "a <|endoftext|> b", "a  <|endoftext|>  b <|endoftext|>", "one\u00a0two \u2003 three", " lead", "trail ", " ",
     "word " * 9000, "x" * 5000, "One two, three.", "a\r\nb\x00c",
 ]
 
@@ -23,7 +24,6 @@ def encode():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
