@@ -38,6 +38,23 @@ def test_unclosed_last_block_is_dropped(spark, tmp_path, end):
     assert sorted(load(spark, path)) == [ID(1), ID(3)]
 
 
+@pytest.mark.parametrize("mark", [b"", b"\xef\xbb\xbf"])
+@pytest.mark.parametrize("pack", [None, "gz", "bz2"])
+def test_ends_of_compressed_and_marked_files(spark, tmp_path, mark, pack):
+    import bz2
+    import gzip
+
+    folder, want = tmp_path / "c d", {ID(9): "plain "}
+    write(folder, "plain", block(ID(9), "plain"))
+    ends = {1: "\n</DOC>", 2: "\n</DOC>\n", 3: "\n</DOC>\n\n \n", 4: "\n</TEXT>", 5: "", 6: "\n</DOC"}
+    for i, end in ends.items():
+        content = mark + (block(ID(10 + i), f"first {i}") + block(ID(i), "é last", end=end)).encode()
+        packed = {None: bytes, "gz": gzip.compress, "bz2": bz2.compress}[pack](content)
+        (folder / (f"f{i}" + (f".{pack}" if pack else ""))).write_bytes(packed)
+        want |= {ID(10 + i): f"first {i} "} | ({ID(i): "é last "} if i < 4 else {})
+    assert load(spark, str(folder)) == want
+
+
 def test_closing_tag_at_the_very_end_counts(spark, tmp_path):
     path = write(tmp_path / "c", "f1", block(ID(1), "a") + block(ID(2), "b", end="\n</DOC>"))
     assert sorted(load(spark, path)) == [ID(1), ID(2)]

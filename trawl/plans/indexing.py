@@ -243,7 +243,7 @@ def load_corpus(
     """``docno, text`` of a directory of tagged files, one row per id."""
     staged = scratch_path(spark, "blocks")
     read_blocks(spark, corpus).write.parquet(staged)
-    documents = keep_documents(spark.read.parquet(staged))
+    documents = keep_documents(spark.read.parquet(staged), corpus)
     if only is not None:
         documents = documents.join(only.select("docno").distinct(), "docno", "left_semi")
     return documents

@@ -27,6 +27,10 @@ BLOCK_END = "\n</DOC>"
 DOCNO_LINE = r"(?md)^<DOCNO>.(.{1,13})"
 TEXT_SECTION = r"(?mds)^<TEXT>[^\n]*\n(.*?)(?:^</TEXT>|\z)"
 
+# File names of compressed collections, whose size says nothing about their text.
+COMPRESSED = r"\.(gz|gzip|bz2|deflate|lz4|snappy|zst)$"
+BOM_BYTES = 3
+
 POSITION = ["file", "start", "seq"]
 
 
@@ -60,12 +64,15 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def unclosed_tails(blocks: DataFrame) -> DataFrame:
+def unclosed_tails(blocks: DataFrame, path: str) -> DataFrame:
     """Places of file-final blocks with an id that no closing tag follows.
 
-    The separators are not part of the rows, so a file whose every block is closed is
-    exactly one separator per row longer than its rows; a file with an open tail is one
-    separator shorter than that.
+    Most files end in blank lines after a closing tag, and their last row has no id. Of
+    the others, a plain file tells by its size: the separators are not part of the rows,
+    so one whose every block is closed is exactly one separator per row longer than its
+    rows, and one with an open tail is one separator shorter than that; a byte-order mark
+    is taken off before a row is made. Any other file (a compressed one) is asked for its
+    last line: the files concerned are read once more.
     """
     splits = blocks.groupBy("file", "start").agg(
         F.max(F.struct("seq", F.col("docno").isNotNull().alias("has_id"))).alias("end"),
@@ -79,12 +86,25 @@ def unclosed_tails(blocks: DataFrame) -> DataFrame:
             F.sum("n_bytes") + F.sum("n_rows") * len(BLOCK_END) - F.max("file_size")
         ).alias("excess"),
     )
-    open_tail = (F.col("excess") == len(BLOCK_END)) & F.col("last.has_id")
-    return files.where(open_tail).select("file", "last.start", "last.seq")
-
-
-def keep_documents(blocks: DataFrame) -> DataFrame:
-    """The closed blocks that carry an id, the last one of each id.
+    ends = files.where("last.has_id").select("file", "last.start", "last.seq", "excess")
+    packed = F.lower("file").rlike(COMPRESSED) | ~F.col("excess").isin([e - b for e in (0, len(BLOCK_END)) for b in (0, BOM_BYTES)])
+    ends = ends.withColumn("packed", packed)
+    open_by_size = ends.where(~F.col("packed") & (F.col("excess") > 0))
+    asked = [r.file for r in ends.where("packed").select("file").collect()]  # names that the driver has listed before
+    if not asked:
+        return open_by_size.select("file", "start", "seq")
+    lines = blocks.sparkSession.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("seq"), F.rtrim(F.translate("value", "\r", "")).alias("line"),
+    ).where(F.col("_metadata.file_path").isin(asked) & (F.col("line") != ""))
+    final = lines.groupBy("file").agg(F.max_by("line", F.struct("start", "seq")).alias("line"))
+    open_by_line = ends.where("packed").join(final.where(F.col("line") != BLOCK_END.strip()).select("file"), "file", "left_semi")
+    return open_by_size.unionByName(open_by_line).select("file", "start", "seq")
+
+
+def keep_documents(blocks: DataFrame, path: str) -> DataFrame:
+    """The closed blocks of the collection at ``path`` that carry an id, the last one of
+    each id.
 
     "Last" is by file path, then by place in the file. Decisions are taken on the
     narrow place and id columns only. Repeated ids are normally few and are broadcast
@@ -92,7 +112,7 @@ def keep_documents(blocks: DataFrame) -> DataFrame:
     their place, which is unique per row, so that an id with very many copies does not
     gather in one task.
     """
-    tails = unclosed_tails(blocks)
+    tails = unclosed_tails(blocks, path)
     if is_small(tails, BROADCAST_ROWS):
         tails = F.broadcast(tails)
     closed = blocks.where("docno IS NOT NULL").join(tails, POSITION, "left_anti")

@@ -28,6 +28,8 @@ SEED = 42
 # Apostrophes, underscores and a lone combining mark, which the tables' texts lack.
 MARKS = " o'clock's rock'n'roll __ _a1 _'b l’été’s \u0301 a\u0301'c__'"
 POOL_DEPTH = 100
+# Documents in each of the files that end in various ways.
+DOCUMENTS_PER_FILE = 500
 
 _made: dict[tuple[str, str, str], str] = {}
 
@@ -122,6 +124,42 @@ def tagged_files(spark: SparkSession, sf_dir: str, versions: int = 1) -> str:
     return made_once(spark, sf_dir, f"tagged{versions}", make)
 
 
+def mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """The documents in files that end in every way, plain, compressed or led by a
+    byte-order mark: after a blank line, at the closing tag, or in an open block. Blocks
+    have no section, one or two, or no id.
+    """
+    head = F.concat(F.lit("<DOC>\n<DOCNO> "), F.col("docno"), F.lit(" </DOCNO>\n"))
+    section = lambda text: F.concat(F.lit("<TEXT>\n"), text, F.lit("\n</TEXT>"))
+    text, half = F.col("text"), (F.length("text") / 2).cast("int")
+    halves = F.concat(section(F.substr("text", F.lit(1), half)), F.lit("\n"), section(F.substr("text", half + 1, F.length("text"))))
+    number = F.substring("docno", 3, 11).cast("long")
+    shape = number % 5
+    body = (
+        F.when(shape == 0, F.lit("<HEAD>no section</HEAD>"))
+        .when(shape == 1, F.concat(head, halves))
+        .when(shape == 2, F.concat(F.lit("<DOC>\n"), section(text)))
+        .otherwise(F.concat(head, section(text)))
+    )
+    body = F.when(shape == 0, F.concat(head, body)).otherwise(body)
+    open_end = F.lit("\n<DOC>\n<DOCNO> AP99999999999 </DOCNO>\n<TEXT>\nnever closed")
+    kinds = [(end, compression, mark) for end in ("blank", "tag", "open") for compression in ("none", "gzip") for mark in ("", "\ufeff")]
+
+    def make(path: str) -> None:
+        rows = raw_documents(spark, sf_dir).select(body.alias("body"), (number % len(kinds)).alias("kind"), number.alias("number"))
+        parts = 2 + rows.count() // (DOCUMENTS_PER_FILE * len(kinds))
+        for i, (end, compression, mark) in enumerate(kinds):
+            own = rows.where(F.col("kind") == i).withColumn("part", F.pmod(F.xxhash64("number"), F.lit(parts)))
+            # One row a file: everything up to where its last line separator begins.
+            held = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "body"))), lambda b: b["body"]), "\n</DOC>\n")
+            content = F.concat(F.lit(mark), held, *([F.lit("\n</DOC>"), open_end] if end == "open" else []))
+            separator = {"blank": "\n</DOC>\n", "tag": "\n</DOC>", "open": "\n"}[end]
+            whole = own.groupBy("part").agg(content.alias("value")).write.partitionBy("part").mode("append")
+            whole.option("compression", compression).option("lineSep", separator).text(path)
+
+    return made_once(spark, sf_dir, "mixed", make)
+
+
 def stop_file(spark: SparkSession, sf_dir: str) -> str:
     """The stop words, one per line."""
     return made_once(

@@ -342,6 +342,12 @@ def _small_forest(kind: str) -> str:
 
 ORACLE: dict[str, str] = {
     "ingest_tagged": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
+    "ingest_mixed": (
+        f"SELECT {_DOCNO} AS docno, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN"
+        " replace(text[1:(length(text) // 2)], chr(10), ' ') || ' ' || replace(text[(length(text) // 2 + 1):], chr(10), ' ') || ' '"
+        " ELSE replace(text, chr(10), ' ') || ' ' END AS text"
+        f" FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || {_quoted(MARKS)} ELSE text END AS text FROM documents) WHERE doc_id % 5 <> 2"
+    ),
     "ingest_upsert": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
     "reindex_lengths": _with(
         ["lengths"], "SELECT docno, dl AS doclength FROM lengths", _REVISED

@@ -45,6 +45,11 @@ def ingest_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_documents(raw, fx.STOP_WORDS)
 
 
+def ingest_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed, marked and open-ended files of blocks of every shape."""
+    return load_corpus(spark, fx.mixed_files(spark, sf_dir))
+
+
 def ingest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document twice in the files; the later copy is the one kept."""
     raw = load_corpus(spark, fx.tagged_files(spark, sf_dir, versions=2))
@@ -334,6 +339,7 @@ def ltr_run_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "ingest_tagged": ingest_tagged,
+    "ingest_mixed": ingest_mixed,
     "ingest_upsert": ingest_upsert,
     "reindex_lengths": reindex_lengths,
     "reindex_term_stats": reindex_term_stats,
