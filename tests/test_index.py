@@ -151,6 +151,27 @@ def test_update_replaces_and_adds(spark, index, rows, tmp_path, monkeypatch, bou
         update_index(index, raw, index.path)
 
 
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_a_stop_table_of_any_size_equals_the_list(spark, tmp_path, rows, monkeypatch, bound):
+    documents = {"d1": "the The the, cat  the", "d2": "", "d3": "the the", "d4": " dog\tof the\nhouse of ", "d5": "it's the cat's _the_"}
+    stop = ["the", "of", "it"]
+    unheard = spark.range(200_000).select(F.format_string("unheard%d", "id").alias("word"))
+    table = spark.createDataFrame([(w,) for w in [*stop, "the"]], "word string").unionByName(unheard)
+    topics = make_topics(spark, {1: "the cat of it", 2: "The dog", 3: ""})
+    raw = spark.createDataFrame([*documents.items(), ("d6", None)], "docno string, text string")
+    listed = build_index(raw, str(tmp_path / "list"), stop, buckets=2)
+    monkeypatch.setattr(postings_module, "BROADCAST_ROWS", bound)
+    build_index(raw, str(tmp_path / "table"), table, buckets=2)
+    joined = open_index(spark, str(tmp_path / "table"))
+    for name in ("documents", "postings", "terms"):
+        assert sorted(map(str, getattr(joined, name).collect())) == sorted(map(str, getattr(listed, name).collect()))
+    assert rows(postings_module.clean_topics(topics, table)) == rows(postings_module.clean_topics(topics, stop))
+    assert rows(retrieve(joined, topics), "model", "qid", "docno", "rank") == rows(retrieve(listed, topics), "model", "qid", "docno", "rank")
+    if bound:
+        cleaned = postings_module.clean_documents(joined.documents, table)
+        assert "Exchange hashpartitioning(docno" not in executed_plan(cleaned)
+
+
 def test_segments_upon_segments_equal_a_whole_index(spark, tmp_path, rows):
     """Three updates: replaced, added, emptied and replaced again; terms vanish and return."""
     state = {f"d{i}": f"common w{i} w{i % 3}" for i in range(30)}

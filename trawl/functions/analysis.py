@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.stemming import stem_words
+from trawl.operators.keyed import BROADCAST_ROWS, is_small
 
 # Letters, digits, combining marks and underscore; an apostrophe only inside a word.
 # Possessive repeats keep the matcher from recursing and from going back.
@@ -28,15 +29,21 @@ def strip_possessive(word: Column) -> Column:
 
 
 def analyze(
-    df: DataFrame, keys: list[str], text: str, stop_words: list[str], stem: bool = True
+    df: DataFrame, keys: list[str], text: str, stop_words: list[str] | DataFrame, stem: bool = True
 ) -> DataFrame:
     """One row per kept token: the ``keys``, its position ``pos`` and its ``term``.
 
+    Stop words are a list, or a table with a column ``word`` that is joined instead.
+
     Positions count all words, so a removed stop word leaves a gap.
     """
     tokens = df.select(*keys, F.posexplode(words(F.col(text))).alias("pos", "word"))
     tokens = tokens.withColumn("word", strip_possessive(F.col("word")))
-    if stop_words:
+    if isinstance(stop_words, DataFrame):
+        listed = stop_words.select("word")
+        listed = F.broadcast(listed) if is_small(listed, BROADCAST_ROWS) else listed
+        tokens = tokens.join(listed, "word", "left_anti")
+    elif stop_words:
         tokens = tokens.where(~F.col("word").isin(stop_words))
     tokens = tokens.where(F.col("word") != "")
     if stem:

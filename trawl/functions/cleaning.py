@@ -53,17 +53,29 @@ def halve_blanks(text: Column) -> Column:
 
 
 def clean_document(text: Column, stop_words: list[str]) -> Column:
-    kept = F.lower(blank_stop_words(text, stop_words))
-    return halve_blanks(blank_out(kept, DOCUMENT_PUNCTUATION))
+    return finish_document(blank_stop_words(text, stop_words))
+
+
+def finish_document(text: Column) -> Column:
+    """The steps after the stop words are gone."""
+    return halve_blanks(blank_out(F.lower(text), DOCUMENT_PUNCTUATION))
 
 
 def drop_preambles(text: Column) -> Column:
     return reduce(lambda t, p: F.replace(t, F.lit(p), F.lit("")), TOPIC_PREAMBLES, text)
 
 
+def bare_topic(text: Column) -> Column:
+    """The steps before the stop words go."""
+    return blank_out(drop_preambles(text), TOPIC_PUNCTUATION)
+
+
+def finish_topic(text: Column) -> Column:
+    return F.lower(halve_blanks(text))
+
+
 def clean_topic(text: Column, stop_words: list[str]) -> Column:
-    bare = blank_out(drop_preambles(text), TOPIC_PUNCTUATION)
-    return F.lower(halve_blanks(blank_stop_words(bare, stop_words)))
+    return finish_topic(blank_stop_words(bare_topic(text), stop_words))
 
 
 def token_count(text: Column) -> Column:

@@ -2,28 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.analysis import analyze
-from trawl.functions.cleaning import clean_document, clean_topic, token_count
+from trawl.functions.cleaning import (
+    bare_topic,
+    clean_document,
+    clean_topic,
+    finish_document,
+    finish_topic,
+    squeeze,
+    token_count,
+)
 from trawl.operators.keyed import BROADCAST_ROWS, is_small
+from trawl.storage import written
+
+# A list is folded into expressions; a table with a column ``word`` is joined.
+StopWords = list[str] | DataFrame
 
 FREQUENT_TERMS = 10_000
 
 
-def clean_documents(raw: DataFrame, stop_words: list[str]) -> DataFrame:
+def clean_documents(raw: DataFrame, stop_words: StopWords) -> DataFrame:
     """``docno, text`` to cleaned ``docno, text, doclength``."""
-    cleaned = raw.select("docno", clean_document(F.col("text"), stop_words).alias("text"))
+    if isinstance(stop_words, DataFrame):
+        kept = blank_listed(raw, "docno", F.col("text"), stop_words)
+        cleaned = kept.select("docno", finish_document(F.col("text")).alias("text"))
+    else:
+        cleaned = raw.select("docno", clean_document(F.col("text"), stop_words).alias("text"))
     return cleaned.withColumn("doclength", token_count(F.col("text")))
 
 
-def clean_topics(raw: DataFrame, stop_words: list[str]) -> DataFrame:
+def clean_topics(raw: DataFrame, stop_words: StopWords) -> DataFrame:
+    if isinstance(stop_words, DataFrame):
+        kept = blank_listed(raw, "qid", bare_topic(F.col("text")), stop_words)
+        return kept.select("qid", finish_topic(F.col("text")).alias("text"))
     return raw.select("qid", clean_topic(F.col("text"), stop_words).alias("text"))
 
 
+def blank_listed(rows: DataFrame, key: str, text: Column, stop_words: DataFrame) -> DataFrame:
+    """``key, text`` with the tokens that ``stop_words`` lists replaced by nothing.
+
+    Tokens meet the list in a join and are put together again in their order. Rows that
+    are partitioned by ``key`` stay where they are as long as the list can be broadcast.
+    A longer list is shuffled with the tokens, by way of a written table so that a row
+    keeps its number.
+    """
+    numbered = rows.select(key, F.monotonically_increasing_id().alias("row"), text.alias("text"))
+    listed = stop_words.select(F.col("word").alias("token")).distinct().withColumn("listed", F.lit(True))
+    if is_small(listed, BROADCAST_ROWS):
+        listed = F.broadcast(listed)
+    else:
+        numbered = written(numbered, "texts")
+    tokens = numbered.select(
+        key, "row", F.col("text").isNull().alias("none"), F.posexplode_outer(F.split(squeeze(F.col("text")), " ")).alias("pos", "token")
+    )
+    kept = F.struct("pos", F.when(F.col("listed"), "").otherwise(F.col("token")).alias("token"))
+    whole = tokens.join(listed, "token", "left").groupBy(key, "row").agg(
+        F.first("none").alias("none"), F.array_sort(F.collect_list(kept)).alias("tokens")
+    )
+    joined = F.array_join(F.transform("tokens", lambda t: t["token"]), " ")
+    return whole.select(key, F.when(~F.col("none"), joined).alias("text"))
+
+
 def build_postings(
-    documents: DataFrame, stop_words: list[str], stem: bool = True
+    documents: DataFrame, stop_words: StopWords, stem: bool = True
 ) -> DataFrame:
     """One row per document and term. The document length rides along, so that scoring
     needs no join with the documents.
@@ -36,7 +80,7 @@ def build_postings(
 
 
 def build_positions(
-    documents: DataFrame, stop_words: list[str], stem: bool = True
+    documents: DataFrame, stop_words: StopWords, stem: bool = True
 ) -> DataFrame:
     """Term vectors with the word positions of each term."""
     tokens = analyze(documents, ["docno"], "text", stop_words, stem)
@@ -71,7 +115,7 @@ def exact_vocabulary(terms: DataFrame) -> DataFrame:
     return terms.agg(F.count("*").alias("vocab"))
 
 
-def topic_terms(topics: DataFrame, stop_words: list[str], stem: bool = True) -> DataFrame:
+def topic_terms(topics: DataFrame, stop_words: StopWords, stem: bool = True) -> DataFrame:
     """Analyzed terms of cleaned topics, with their multiplicity."""
     tokens = analyze(topics, ["qid"], "text", stop_words, stem)
     return tokens.groupBy("qid", "term").agg(F.count("*").alias("qtf"))

@@ -24,6 +24,7 @@ from trawl import schemas
 from trawl.functions.scoring import Collection
 from trawl.operators.keyed import BROADCAST_ROWS, is_small, keep_last, parts_for
 from trawl.operators.postings import (
+    StopWords,
     build_postings,
     clean_documents,
     exact_vocabulary,
@@ -50,7 +51,7 @@ class Index:
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
-    stop_words: list[str]
+    stop_words: StopWords
     stem: bool
     buckets: int
     segments: int = 0
@@ -76,7 +77,7 @@ class Index:
 def build_index(
     raw: DataFrame,
     path: str,
-    stop_words: list[str],
+    stop_words: StopWords,
     stem: bool = True,
     buckets: int | None = None,
     order: str | None = None,
@@ -221,7 +222,7 @@ def index_corpus(
     spark: SparkSession,
     corpus: str,
     path: str,
-    stop_words: list[str],
+    stop_words: StopWords,
     stem: bool = True,
     buckets: int | None = None,
     only: DataFrame | None = None,
@@ -270,7 +271,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         postings=postings,
         terms=terms,
         stats=stats,
-        stop_words=list(settings.stop_words),
+        stop_words=spark.read.schema("word string").parquet(f"{path}/stop_words") if settings.stop_words is None else list(settings.stop_words),
         stem=settings.stem,
         buckets=settings.buckets,
         segments=settings.segments,
@@ -286,13 +287,16 @@ def forget_index(spark: SparkSession, path: str) -> None:
 
 
 def _write_settings(
-    spark: SparkSession, path: str, buckets: int, stem: bool, stop_words: list[str],
+    spark: SparkSession, path: str, buckets: int, stem: bool, stop_words: StopWords,
     base: str | None = None, segments: int = 0,
 ) -> None:
+    listed = not isinstance(stop_words, DataFrame)
+    if not listed:
+        stop_words.select("word").write.mode("overwrite").parquet(f"{path}/stop_words")
     settings = spark.range(1).select(
         F.lit(buckets).alias("buckets"),
         F.lit(stem).alias("stem"),
-        F.array(*[F.lit(w) for w in stop_words]).cast("array<string>").alias("stop_words"),
+        (F.array(*[F.lit(w) for w in stop_words]) if listed else F.lit(None)).cast("array<string>").alias("stop_words"),
         F.lit(base).cast("string").alias("base"),
         F.lit(segments).alias("segments"),
     )

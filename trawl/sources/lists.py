@@ -35,6 +35,15 @@ def read_stop_list(spark: SparkSession, path: str) -> list[str]:
     return sorted(row.value for row in lines.collect())
 
 
+def read_stop_table(spark: SparkSession, path: str) -> DataFrame:
+    """The words of a stop list of any size, one per row in ``word``, case kept.
+
+    Cleaning, analysis and indexing take it in place of a list and join it.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).where("value <> ''")
+    return lines.select(F.col("value").alias("word")).distinct()
+
+
 def dropped_topics(spark: SparkSession, path: str) -> DataFrame:
     """Number of lines per file that are no topic: no dot, or no number before it."""
     number = F.trim(F.get(F.split("value", r"\."), F.lit(0))).try_cast("int")

@@ -371,6 +371,7 @@ ORACLE: dict[str, str] = {
     ),
     "clean_docs": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
     "stop_list_file": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
+    "stop_list_table": _with(["lengths"], "SELECT docno, text, dl AS doclength FROM lengths"),
     "doc_length": _with(["lengths"], "SELECT docno, dl AS doclength FROM lengths"),
     "length_stats": _with(
         ["lengths"],

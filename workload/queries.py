@@ -29,7 +29,7 @@ from trawl.operators.splitting import held_out_topics, train_topics
 from trawl.plans.indexing import load_corpus, sketched_vocabulary
 from trawl.plans.retrieval import TOP_K, retrieve, weighed_terms
 from trawl.sinks.runfiles import run_line, write_runs
-from trawl.sources.lists import read_qrels, read_stop_list, read_topics
+from trawl.sources.lists import read_qrels, read_stop_list, read_stop_table, read_topics
 from trawl.storage import scratch_path, written
 from workload import fixtures as fx
 
@@ -109,6 +109,14 @@ def stop_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_documents(fx.raw_documents(spark, sf_dir), stop_words)
 
 
+def stop_list_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a joined stop list of any size: the stop words among as many words that
+    no text holds as there are documents."""
+    unheard = fx.raw_documents(spark, sf_dir).select(F.concat(F.lit("\u0001"), F.col("docno")).alias("word"))
+    listed = read_stop_table(spark, fx.stop_file(spark, sf_dir)).unionByName(unheard)
+    return clean_documents(fx.raw_documents(spark, sf_dir), listed)
+
+
 def topic_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = read_topics(spark, fx.topic_file(spark, sf_dir))
     return clean_topics(parsed, fx.STOP_WORDS)
@@ -351,6 +359,7 @@ QUERIES: dict[str, Query] = {
     "browse_docs": browse_docs,
     "clean_docs": clean_docs,
     "stop_list_file": stop_list_file,
+    "stop_list_table": stop_list_table,
     "doc_length": doc_length,
     "length_stats": length_stats,
     "vocab_exact": vocab_exact,
