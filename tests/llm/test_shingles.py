@@ -4,6 +4,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from trawl.llm import jaccard
 from trawl.llm.jaccard import Rule, keep_one, similar_components
 
 SCHEMA = "doc_id long, text string, n_shingles string, id int"
@@ -56,14 +59,14 @@ def varied(n, seed, vocabulary=400):
     return [(i, t, "x", 1) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("heavy", [1, 32])
+@pytest.mark.parametrize("heavy,block", [(1, 4096), (32, 4096), (1, 2), (8192, 3)])
 @pytest.mark.parametrize("rule", [(3, 9, 10), (5, 4, 5)])
-def test_same_as_all_pairs(spark, rule, heavy):
+def test_same_as_all_pairs(spark, rule, heavy, block):
     rows = varied(250, seed=heavy)
     want = by_brute_force(rows, *rule)
     assert len({c for _, c in want.values()}) < 0.9 * len(rows)
     words, num, den = rule
-    assert answer(similar_components(spark.createDataFrame(rows, SCHEMA), words=words, num=num, den=den, heavy_members=heavy)) == want
+    assert answer(similar_components(spark.createDataFrame(rows, SCHEMA), words=words, num=num, den=den, heavy_members=heavy, block=block)) == want
 
 
 def test_similarity_at_the_limit(spark):
@@ -80,6 +83,7 @@ def test_defined_cases(spark):
         (12, "É x y", "", 1), (13, "é x y", "", 1), (14, long, "", 1), (15, long + " end", "", 1), (16, "a b c", "", 1), (17, "a b c", "", 1),
     ]
     got = answer(similar_components(spark.createDataFrame(rows + [(None, "one", "", 1)], SCHEMA)))
+    assert got.pop(None) == (1, None)
     assert got == by_brute_force(rows)
     assert got[9] == (1, 8) and got[13] == (1, 13) and got[15][1] == 14
     assert answer(similar_components(spark.createDataFrame([], SCHEMA))) == {}
@@ -101,6 +105,40 @@ def test_keep_one_drops_rows_for_their_own_text(spark):
     assert sorted((r.doc_id, r.n_shingles) for r in got) == [(1, "a"), (2, "c"), (2, "d"), (4, "f")]
 
 
+def near_family(n, seed, changes):
+    """Texts that differ from one text in a few words each: many pairs just miss the limit."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(60)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(rng.randrange(changes)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(30)}"
+        out.append((i, " ".join(own), "x", 1))
+    return out
+
+
+@pytest.mark.parametrize("heavy,block", [(8192, 4096), (8192, 7), (5, 7)])
+def test_a_family_around_the_limit(spark, heavy, block):
+    rows = near_family(150, 3, 6)
+    want = by_brute_force(rows)
+    assert 5 < len({c for _, c in want.values()}) < len(rows)
+    assert answer(similar_components(spark.createDataFrame(rows, SCHEMA), heavy_members=heavy, block=block)) == want
+
+
+def test_few_pairs_leave_the_buckets(spark):
+    """Pairs that differ too much are told apart inside the cell."""
+    rule, rows = Rule(), near_family(300, 4, 12)
+    texts = spark.createDataFrame([(i, t) for i, t, *_ in rows], "id long, text string")
+    indexed = texts.mapInArrow(jaccard._index(rule), "id long, size long, digest binary, sketch binary, small binary").cache()
+    bucket = texts.select(F.lit(1).cast("long").alias("key"), "id", F.col("id").alias("top"), F.lit("light").alias("role"))
+    found = {(r.a, r.b) for r in jaccard._candidates(bucket, indexed, rule, 50).collect()}
+    hashes = jaccard.WordHashes()
+    sets = [rule.shingles(t, hashes) for _, t, *_ in rows]
+    similar = {(a, b) for b in range(len(sets)) for a in range(b) if rule.similar(sets[a], sets[b])}
+    assert similar <= found and len(found) < 2 * len(similar) + 50
+
+
 def test_size_bands_hold_every_similar_pair():
     for num, den in ((9, 10), (4, 5)):
         rule = Rule(3, num, den)

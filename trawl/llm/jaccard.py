@@ -10,8 +10,9 @@ must agree, and index those alone. A set with fewer indexes its empty segments a
 
 Cost-based allocation: signatures held by one set alone cost nothing further. Sets sharing
 one are verified against the bucket's smallest id first; only buckets that still hold
-several components go on. Of these, a small bucket is verified pair by pair across
-components. For a bucket over ``HEAVY`` members the segment is not used (allocation 0);
+several components go on. Of these, a bucket is tried pair by pair across components
+inside the task that reads it, in cells of bounded size. For a bucket over ``HEAVY``
+members that costs more than its neighbourhoods: the segment is not used (allocation 0);
 each of its z such segments is made up for by two filled ones with allocation 2, the first
 ones in order, where sets are joined when one segment equals the other with one shingle
 removed. Sum of allocations > H, so no pair is lost. Sets with too many heavy segments
@@ -21,15 +22,16 @@ A pair is tried on sketches first: the parity of the number of shingles in each
 as many cells as the set has shingles. Cells of odd difference are no more than the
 shingles that differ, so a pair with more of them than similarity allows is none, and no
 similar pair is lost. What remains is verified on the shingle sets of the whole texts.
-Equal sets are grouped by a 128-bit digest beforehand, and equal sets within a task send
-their signatures once.
+Inside a bucket the sketches are folded to a few bytes and tried before a pair leaves it,
+so a group of texts just below the limit costs no rows. Equal sets are grouped by a
+128-bit digest beforehand, and equal sets within a task send their signatures once.
 
-Signatures are shuffled once and read in order, so a bucket is never held as a whole. A set
-has one row in a bucket, so no bucket can have more than a small part of all rows.
+Signatures go straight from the text into their only shuffle and are read in order, so a
+bucket is never held as a whole.
 
 Defined cases: null text, empty text or text without a word has an empty set and no links;
 fewer words than a shingle are one shingle; repeated rows are equal sets; rows with a null
-id are dropped; an empty table gives an empty result.
+id have their size, no links and a null component; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,7 +50,16 @@ from trawl.llm.common import stored
 from trawl.llm.components import components
 from trawl.operators.keyed import is_small
 
-HEAVY = 32
+# Testing a row of a bucket costs about 15 ns a member and segment, its one-deletion
+# neighbourhoods about 200 us: beyond this many members the neighbourhoods are cheaper.
+HEAVY = 8192
+# Rows of a bucket that meet in one task, and rows tested at once against a cell.
+BLOCK = 4096
+TESTED_ROWS = 256
+# Sketches inside buckets are folded to this many bytes; slices of texts hold about so many.
+SMALL_BYTES = 128
+SLICE_BYTES = 8 << 20
+SENT_ROWS = 100_000
 # Most ids (8 bytes each) broadcast to pick the texts to verify; beyond it, a shuffle.
 BROADCAST_IDS = 500_000
 CACHED_WORDS = 100_000
@@ -204,25 +215,63 @@ def odd_cells(a: bytes, b: bytes) -> int:
     return (x ^ y).bit_count()
 
 
+def folded(parities: bytes, most: int) -> bytes:
+    """A sketch of at most ``most`` bytes; differences can only fall."""
+    while len(parities) > most:
+        half = len(parities) // 2
+        value = int.from_bytes(parities[:half], "little") ^ int.from_bytes(parities[half:], "little")
+        parities = value.to_bytes(half, "little")
+    return parities
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts in slices of about ``SLICE_BYTES`` of text, however large a batch is."""
+    for batch in batches:
+        ids, texts = batch.column("id"), batch.column("text")
+        weights = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(weights[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(weights, before + SLICE_BYTES, side="right")))
+            yield ids.slice(at, end - at), [text or "" for text in texts.slice(at, end - at).to_pylist()]
+            at = end
+
+
 def _index(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sent = WordHashes(), set()
-        for batch in batches:
-            ids = batch.column("id")
-            sizes, digests, sketches, parts, ends = [], [], [], [], [0]
-            for text in batch.column("text").to_pylist():
-                shingles = rule.shingles(text or "", hashes)
-                digest = xxhash.xxh3_128_digest(shingles.tobytes())
-                new = len(shingles) and digest not in sent
-                sent.add(digest)
-                parts.append(signatures(shingles, rule) if new else np.zeros(0, dtype=np.int64))
-                ends.append(ends[-1] + len(parts[-1]))
+        hashes = WordHashes()
+        for ids, texts in _slices(batches):
+            sizes, digests, sketches = [], [], []
+            for text in texts:
+                shingles = rule.shingles(text, hashes)
                 sizes.append(len(shingles))
-                digests.append(digest)
+                digests.append(xxhash.xxh3_128_digest(shingles.tobytes()))
                 sketches.append(sketch(shingles))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()))
+            small = [folded(x, SMALL_BYTES) for x in sketches]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), lists], ["id", "size", "digest", "sketch", "sigs"])
+                [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary()), pa.array(small, pa.binary())],
+                ["id", "size", "digest", "sketch", "small"])
+
+    return run
+
+
+def _signed(rule: Rule):
+    """(id, sig) for every indexed segment, straight into the shuffle; a set that the task
+    has just sent is not sent again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, sent = WordHashes(), set()
+        for ids, texts in _slices(batches):
+            parts, counts = [np.zeros(0, dtype=np.int64)], []
+            for text in texts:
+                shingles = rule.shingles(text, hashes)
+                digest = xxhash.xxh3_128_digest(shingles.tobytes())
+                parts.append(parts[0] if digest in sent else signatures(shingles, rule))
+                counts.append(len(parts[-1]))
+                if len(sent) >= CACHED_WORDS:
+                    sent.clear()
+                sent.add(digest)
+            rows = pa.array(np.repeat(np.arange(len(counts)), counts))
+            yield pa.RecordBatch.from_arrays([ids.take(rows), pa.array(np.concatenate(parts), pa.int64())], ["id", "sig"])
 
     return run
 
@@ -271,18 +320,23 @@ def _verify(rule: Rule):
     return run
 
 
+def _as_batch(rows: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["id", "top", "role", "key"])
+
+
 def _allocate(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            out: dict[str, list] = {"id": [], "top": [], "role": [], "key": []}
+            types = [batch.schema.field("id").type] * 2 + [pa.string(), pa.int64()]
+            rows: list[tuple] = []
             for node, top, text, heavy in zip(*(batch.column(c).to_pylist() for c in ("id", "top", "text", "heavy"))):
-                for role, key in allocated(rule.shingles(text or "", hashes), rule, set(heavy)):
-                    for name, value in zip(out, (node, top, role, key)):
-                        out[name].append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["id"], batch.schema.field("id").type), pa.array(out["top"], batch.schema.field("id").type),
-                 pa.array(out["role"], pa.string()), pa.array(out["key"], pa.int64())], ["id", "top", "role", "key"])
+                rows += ((node, top, role, key) for role, key in allocated(rule.shingles(text or "", hashes), rule, set(heavy)))
+                if len(rows) >= SENT_ROWS:
+                    yield _as_batch(rows, types)
+                    rows = []
+            if rows:
+                yield _as_batch(rows, types)
 
     return run
 
@@ -306,34 +360,130 @@ def verified(pairs: DataFrame, indexed: DataFrame, texts: DataFrame, rule: Rule)
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(rule), schema)
 
 
-def _across(rows: DataFrame, key: str) -> DataFrame:
-    """Pairs of one bucket whose ends lie in different components."""
-    one, two = rows.select(key, F.col("id").alias("a"), F.col("top").alias("top_a")), rows.select(key, F.col("id").alias("b"), F.col("top").alias("top_b"))
-    return one.join(two, key).where("a < b AND top_a <> top_b").select("a", "b")
+def _fold_rows(words: np.ndarray, width: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to ``width`` words."""
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
+
+
+class Cell:
+    """Rows of one cell: of one bucket, or of two blocks of a large one."""
+
+    def __init__(self, rule: Rule, ids: np.ndarray, tops: np.ndarray, sides: np.ndarray, sizes: np.ndarray, sketches: list[bytes]):
+        self.rule, self.ids, self.tops, self.sides, self.sizes = rule, ids, tops, sides, sizes
+        widths = np.array([len(x) // 8 for x in sketches])
+        self.kinds = [(int(w), at, np.frombuffer(b"".join(sketches[i] for i in at), dtype=U).reshape(len(at), w))
+                      for w in np.unique(widths) for at in [np.flatnonzero(widths == w)]]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of pairs across components and sides that may be similar, a few rows at a time."""
+        if not (self.tops != self.tops[0]).any():
+            return
+        for k, (width, left, x) in enumerate(self.kinds):
+            for other, right, y in self.kinds[k:]:
+                y = _fold_rows(y, width)
+                for start in range(0, len(left), TESTED_ROWS):
+                    yield self._near(left[start : start + TESTED_ROWS], x[start : start + TESTED_ROWS], right, y, width == other)
+
+    def _near(self, i: np.ndarray, x: np.ndarray, j: np.ndarray, y: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+        apart = np.zeros((len(i), len(j)), dtype=np.int32)
+        for w in range(x.shape[1]):
+            apart += np.bitwise_count(x[:, w, None] ^ y[None, :, w])
+        m, n, num, den = self.sizes[i][:, None], self.sizes[j][None, :], self.rule.num, self.rule.den
+        near = (apart <= (m + n) * (den - num) // (den + num)) & (np.minimum(m, n) * den >= np.maximum(m, n) * num)
+        near &= self.tops[i][:, None] != self.tops[j][None, :]
+        sides = self.sides[i][:, None], self.sides[j][None, :]
+        near &= (sides[0] != sides[1]) | (sides[0] == 0)
+        if same:
+            near &= i[:, None] < j[None, :]
+        a, b = np.nonzero(near)
+        return i[a], j[b]
+
+
+def _tested(rule: Rule):
+    """From rows in order of (key, cell): the pairs of a cell whose sketches allow similarity."""
+    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        column = {c: rows.column(c).to_numpy() for c in ("id", "top", "side", "size")}
+        ids = rows.column("id").combine_chunks()
+        cell = Cell(rule, column["id"], column["top"], column["side"], column["size"], rows.column("small").to_pylist())
+        for a, b in cell.pairs():
+            if len(a):
+                low = column["id"][a] < column["id"][b]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.where(low, a, b))), ids.take(pa.array(np.where(low, b, a)))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, cells = batch.column("key").to_numpy(), batch.column("cell").to_numpy()
+            opens = np.flatnonzero((keys[1:] != keys[:-1]) | (cells[1:] != cells[:-1])) + 1
+            if last is not None and last != (keys[0], cells[0]):
+                yield from found(pa.Table.from_batches(waiting))
+                waiting = []
+            edges = [0, *opens.tolist()]
+            for start, end in zip(edges, edges[1:]):
+                yield from found(pa.Table.from_batches([*waiting, batch.slice(start, end - start)]))
+                waiting = []
+            waiting.append(batch.slice(edges[-1]))
+            last = keys[-1], cells[-1]
+        if waiting:
+            yield from found(pa.Table.from_batches(waiting))
+
+    return run
+
+
+def _candidates(rows: DataFrame, indexed: DataFrame, rule: Rule, block: int) -> DataFrame:
+    """Pairs (a, b) of one key and different components whose sketches allow similarity.
+
+    ``rows``: key, id, top, role; ``whole`` rows meet ``less`` rows, others meet each other.
+    A bucket is dealt by id into blocks of about ``block`` rows, and a row goes to the
+    cells of its block with every other, so no task holds more than two blocks. Pairs are
+    tested inside the cell on small sketches; only those that may be similar leave it.
+    """
+    id_type = rows.schema["id"].dataType.simpleString()
+    rows = rows.withColumn("mate", F.expr("CASE role WHEN 'whole' THEN 'less' WHEN 'less' THEN 'whole' ELSE role END"))
+    counts = stored(rows.groupBy("key", "role").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")
+    others = counts.select("key", F.col("role").alias("mate"), F.col("blocks").alias("mates"))
+    # A key without a mate meets nothing and goes no further.
+    dealt = rows.join(counts, ["key", "role"]).join(others, ["key", "mate"]).join(indexed.select("id", "size", "small"), "id")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    placed = dealt.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, mates - 1)")))
+    alone = F.col("role") == F.col("mate")
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    cell = F.when(alone, low.cast("long") * F.col("blocks") + high).when(F.col("role") == "whole", F.col("own").cast("long") * F.col("mates") + F.col("other"))
+    cell = cell.otherwise(F.col("other").cast("long") * F.col("blocks") + F.col("own"))
+    side = F.when(alone & (F.col("own") == F.col("other")), 0).when(F.when(alone, F.col("own") < F.col("other")).otherwise(F.col("role") == "whole"), 1).otherwise(2)
+    placed = placed.select("key", cell.alias("cell"), side.alias("side"), "id", "top", "size", "small")
+    sent = placed.repartition("key", "cell").sortWithinPartitions("key", "cell")
+    return sent.mapInArrow(_tested(rule), f"a {id_type}, b {id_type}").distinct()
 
 
 def similar_components(
     docs: DataFrame, key: str = "doc_id", text_col: str = "text", words: int = 3, num: int = 9, den: int = 10,
-    heavy_members: int = HEAVY,
+    heavy_members: int = HEAVY, block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: ``key``, ``n_shingles``, ``component_id`` (smallest id reachable)."""
     rule = Rule(words, num, den)
-    texts = docs.select(F.col(key).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
+    every = docs.select(F.col(key).alias("id"), F.col(text_col).alias("text"))
+    texts = every.where(F.col("id").isNotNull())
     id_type = texts.schema["id"].dataType.simpleString()
-    indexed = stored(texts.mapInArrow(_index(rule), f"id {id_type}, size long, digest binary, sketch binary, sigs array<long>"), "index")
-    filled = indexed.where("size > 0")
+    indexed = stored(every.mapInArrow(_index(rule), f"id {id_type}, size long, digest binary, sketch binary, small binary"), "index")
+    filled = indexed.where("size > 0 AND id IS NOT NULL")
     classes = stored(filled.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "classes")
     equal = filled.select("id", "digest").join(classes, "digest").select(F.col("id").alias("a"), F.col("first").alias("b")).where("a <> b")
 
-    entries = indexed.select("id", F.explode("sigs").alias("sig")).repartition("sig").sortWithinPartitions("sig", "id")
+    entries = texts.mapInArrow(_signed(rule), f"id {id_type}, sig long").repartition("sig").sortWithinPartitions("sig", "id")
     members = stored(entries.mapInArrow(_buckets, f"sig long, id {id_type}, hub {id_type}").where("id <> hub"), "members")
     stars = members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = stored(equal.union(verified(stars, indexed, texts, rule)), "verified")
+    links = stored(equal.union(verified(stars, filled, texts, rule)), "verified")
     found = stored(components(links), "components")
 
-    more = _remaining(members, found, texts, rule, heavy_members)
+    more = _remaining(members, found, filled, texts, rule, heavy_members, block)
     if more is not None:
-        late = stored(verified(more, indexed, texts, rule), "verified")
+        late = stored(verified(more, filled, texts, rule), "verified")
         if not late.isEmpty():
             found = stored(components(links.union(late)), "components")
     named = indexed.select("id", "size").join(found.withColumnRenamed("node", "id"), "id", "left")
@@ -342,7 +492,9 @@ def similar_components(
     )
 
 
-def _remaining(members: DataFrame, found: DataFrame, texts: DataFrame, rule: Rule, heavy_members: int) -> DataFrame | None:
+def _remaining(
+    members: DataFrame, found: DataFrame, indexed: DataFrame, texts: DataFrame, rule: Rule, heavy_members: int, block: int,
+) -> DataFrame | None:
     """Pairs still to be tried: same bucket, different components, neither the hub."""
     tops = found.select(F.col("node").alias("id"), F.col("component").alias("top"))
     ends = members.join(tops, "id", "left").withColumn("top", F.coalesce("top", "id"))
@@ -351,19 +503,16 @@ def _remaining(members: DataFrame, found: DataFrame, texts: DataFrame, rule: Rul
     if mixed.isEmpty():
         return None
     open_rows = stored(ends.select("sig", "id", "top").join(mixed, "sig"), "open")
-    light = _across(open_rows.where(F.col("n") <= heavy_members), "sig")
+    light = open_rows.where(F.col("n") <= heavy_members).select(F.col("sig").alias("key"), "id", "top", F.lit("light").alias("role"))
     heavy = open_rows.where(F.col("n") > heavy_members)
     if heavy.isEmpty():
-        return light.distinct()
+        return _candidates(light, indexed, rule, block)
     marked = stored(heavy.groupBy("id", "top").agg(F.collect_set("sig").alias("heavy")), "heavy")
     with_text = _texts_of(texts, marked.select("id")).join(marked, "id")
     id_type = texts.schema["id"].dataType.simpleString()
-    entries = stored(with_text.select("id", "top", "text", "heavy").mapInArrow(_allocate(rule), f"id {id_type}, top {id_type}, role string, key long").distinct(), "allocated")
-    whole = entries.where("role = 'whole'").select("key", F.col("id").alias("a"), F.col("top").alias("top_a"))
-    less = entries.where("role = 'less'").select("key", F.col("id").alias("b"), F.col("top").alias("top_b"))
-    near = whole.join(less, "key").where("top_a <> top_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _across(entries.where("role = 'heavy'"), "key")
-    return light.union(near).union(rest).distinct()
+    entries = with_text.select("id", "top", "text", "heavy").mapInArrow(_allocate(rule), f"id {id_type}, top {id_type}, role string, key long").distinct()
+    entries = stored(entries.select("key", "id", "top", "role").union(light), "allocated")
+    return _candidates(entries, indexed, rule, block)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 4, den: int = 5) -> DataFrame:
