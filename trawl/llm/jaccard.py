@@ -58,7 +58,7 @@ BLOCK = 4096
 TESTED_ROWS = 256
 # Sketches inside buckets are folded to this many bytes; slices of texts hold about so many.
 SMALL_BYTES = 128
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 SENT_ROWS = 100_000
 # Most ids (8 bytes each) broadcast to pick the texts to verify; beyond it, a shuffle.
 BROADCAST_IDS = 500_000
