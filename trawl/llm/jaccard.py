@@ -50,8 +50,8 @@ from trawl.llm.common import stored
 from trawl.llm.components import components
 from trawl.operators.keyed import is_small
 
-# Testing a row of a bucket costs about 15 ns a member and segment, its one-deletion
-# neighbourhoods about 200 us: beyond this many members the neighbourhoods are cheaper.
+# Estimated, not measured: testing a row of a bucket costs some 15 ns a member and segment,
+# its one-deletion neighbourhoods some 200 us. Beyond this many members they should be cheaper.
 HEAVY = 8192
 # Rows of a bucket that meet in one task, and rows tested at once against a cell.
 BLOCK = 4096
