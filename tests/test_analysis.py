@@ -39,3 +39,33 @@ def test_a_word_needs_a_letter_or_digit(spark):
 def test_a_word_of_very_many_apostrophes(spark):
     text = "x" + "'0" * 100_000
     assert terms(spark, text + " y " + "_'" * 100_000, stem=False) == [text, "y"]
+
+
+def test_marks_between_letters_or_digits_join_them(spark):
+    text = "3.5 1,000 1;2 u.s.a. a:b l\u00b7l a,b 1:2 x.1 1.x .5 5. a..b"
+    assert terms(spark, text, stem=False) == [
+        "3.5", "1,000", "1;2", "u.s.a", "a:b", "l\u00b7l", "a", "b", "1", "2", "x", "1", "1", "x",
+        "5", "5", "a", "b",
+    ]
+
+
+def test_scripts_without_blanks(spark):
+    assert terms(spark, "日本語のテスト データベース。kanji漢字", stem=False) == [
+        "日", "本", "語", "の", "テスト", "データベース", "kanji", "漢", "字",
+    ]
+    assert terms(spark, "ภาษาไทย ๑๒.๓ ລາວ ខ្មែរ မြန်မာ 한국어 \U00020000\U00020001", stem=False) == [
+        "ภาษาไทย", "๑๒.๓", "ລາວ", "ខ្មែរ", "မြန်မာ", "한국어", "\U00020000", "\U00020001",
+    ]
+
+
+def test_format_characters_stay_with_the_word_before(spark):
+    text = "か\u3099 co\u00adop a\u200d \u200db ｶ\uff9e \u200b x\u200by \U0001f600 \u2003"
+    assert terms(spark, text, stem=False) == [
+        "か\u3099", "co\u00adop", "a\u200d", "b", "ｶ\uff9e", "x", "y",
+    ]
+
+
+def test_very_long_words_of_mixed_letters(spark):
+    text = "aé" * 100_000
+    thai, marks = "กิ" * 100_000, "a.b:" * 100_000
+    assert terms(spark, f"{text} {thai} {marks}", stem=False) == [text, thai, marks[:-1]]

@@ -63,6 +63,28 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select(docno_of(F.col("doc_id")).alias("docno"), marked.alias("text"))
 
 
+def scripted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts as they are, in letters of scripts without blanks, and with marks between
+    letters and digits, by ``doc_id``."""
+    documents = table(spark, sf_dir, "documents")
+    text, kind = F.lower("text"), F.pmod("doc_id", F.lit(6))
+    marked = F.translate(text, "aeo", "123")
+    for blank, mark in ((" 1", ".1"), (" 2", ",2"), (" t", ":t"), (" s", ".s"), (" 3", "\u066b3")):
+        marked = F.replace(marked, F.lit(blank), F.lit(mark))
+    attached = text
+    for plain, marks in (("a", "a\u0301"), (" b", "\u0301b"), ("e ", "e\u200d "), ("n", "n\u00ad"), ("o", "オ\u3099")):
+        attached = F.replace(attached, F.lit(plain), F.lit(marks))
+    written = (
+        F.when(kind == 1, F.translate(text, "aeioutsn", "日本語中文のとカ"))
+        .when(kind == 2, F.translate(text, "aeioustnr", "アイウエオストンー"))
+        .when(kind == 3, F.translate(text, "aeiourst", "กขคงจ\u0e31\u0e34\u0e48"))
+        .when(kind == 4, marked)
+        .when(kind == 5, attached)
+        .otherwise(F.concat("text", F.lit(MARKS)))
+    )
+    return documents.select(docno_of(F.col("doc_id")).alias("docno"), written.alias("text"))
+
+
 def index(spark: SparkSession, sf_dir: str) -> Index:
     path = made_once(
         spark, sf_dir, "index",

@@ -57,6 +57,66 @@ def _clean_topic(text: str) -> str:
     return f"lower(replace({_without_stop_words(bare)}, '  ', ' '))"
 
 
+# --- words of several scripts -----------------------------------------------------
+
+
+def _replaced(text: str, pairs: tuple) -> str:
+    for old, new in pairs:
+        text = f"replace({text}, {_quoted(old)}, {_quoted(new)})"
+    return text
+
+
+_MARKED = _replaced("translate(lower(text), 'aeo', '123')", ((" 1", ".1"), (" 2", ",2"), (" t", ":t"), (" s", ".s"), (" 3", "\u066b3")))
+_ATTACHED = _replaced("lower(text)", (("a", "a\u0301"), (" b", "\u0301b"), ("e ", "e\u200d "), ("n", "n\u00ad"), ("o", "オ\u3099")))
+# Character by character: a class for each, then whether it is inside a word, then whether
+# it opens one. Kinds: R run of letters and digits, K Katakana, S south-east Asian, I single.
+_SEGMENTS = f"""
+WITH texts AS (
+  SELECT {_DOCNO} AS docno, lower(CASE doc_id % 6
+    WHEN 1 THEN translate(lower(text), 'aeioutsn', '日本語中文のとカ')
+    WHEN 2 THEN translate(lower(text), 'aeioustnr', 'アイウエオストンー')
+    WHEN 3 THEN translate(lower(text), 'aeiourst', 'กขคงจ\u0e31\u0e34\u0e48')
+    WHEN 4 THEN {_MARKED} WHEN 5 THEN {_ATTACHED}
+    ELSE text || {_quoted(MARKS)} END) AS t FROM documents),
+chars AS (SELECT docno, unnest(cs) AS c, unnest(range(len(cs))) AS i
+  FROM (SELECT docno, regexp_extract_all(t, '(?s).') AS cs FROM texts)),
+classes AS (SELECT c, CASE
+    WHEN regexp_matches(c, '[\\p{{Han}}\\p{{Hiragana}}]') THEN 'I'
+    WHEN regexp_matches(c, '[\\p{{Katakana}}ー]') THEN 'K'
+    WHEN regexp_matches(c, '[\\p{{Thai}}\\p{{Lao}}\\p{{Khmer}}\\p{{Myanmar}}]') AND regexp_matches(c, '[\\p{{L}}\\p{{M}}]') THEN 'S'
+    WHEN regexp_matches(c, '\\p{{M}}') THEN 'M'
+    WHEN regexp_matches(c, '\\p{{Cf}}') THEN 'F'
+    WHEN regexp_matches(c, '\\p{{L}}') THEN 'L'
+    WHEN regexp_matches(c, '\\p{{Nd}}') THEN 'D'
+    WHEN regexp_matches(c, '[\\p{{N}}\\p{{Pc}}]') THEN 'E'
+    WHEN c IN (chr(39), '’') THEN 'Q' WHEN c = '.' THEN 'B' WHEN c IN (':', '·') THEN 'A'
+    WHEN c IN (',', ';', '\u066b') THEN 'C' ELSE 'O' END AS k
+  FROM (SELECT DISTINCT c FROM chars)),
+bases AS (SELECT docno, c, i, k, lag(k) OVER w AS before, lead(k) OVER w AS after,
+    last_value(CASE WHEN k NOT IN ('M', 'F') THEN k END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS base
+  FROM chars JOIN classes USING (c) WINDOW w AS (PARTITION BY docno ORDER BY i)),
+inside AS (SELECT docno, c, i, k, CASE
+    WHEN k IN ('I', 'K', 'S') THEN k
+    WHEN k IN ('L', 'D', 'E') THEN 'R'
+    WHEN k = 'M' AND base IN ('I', 'K', 'S') THEN base
+    WHEN k = 'M' THEN 'R'
+    WHEN k = 'F' AND before IN ('I', 'K', 'S') THEN before
+    WHEN k = 'F' AND before IN ('L', 'D', 'E') THEN 'R'
+    WHEN k = 'F' AND before = 'M' THEN CASE WHEN base IN ('I', 'K', 'S') THEN base ELSE 'R' END
+    WHEN before IN ('I', 'K', 'S') OR (before IN ('M', 'F') AND base IN ('I', 'K', 'S'))
+      OR (before = 'F' AND base NOT IN ('L', 'D', 'E')) THEN NULL
+    WHEN k = 'Q' AND before IN ('L', 'D', 'E', 'M', 'F') AND after IN ('L', 'D', 'E', 'M') THEN 'R'
+    WHEN k IN ('A', 'B') AND before IN ('L', 'M', 'F') AND after = 'L' THEN 'R'
+    WHEN k IN ('C', 'B') AND before = 'D' AND after = 'D' THEN 'R' END AS kind
+  FROM bases),
+opened AS (SELECT docno, c, i, kind, sum(CASE WHEN k = 'I' OR kind IS DISTINCT FROM last THEN 1 ELSE 0 END)
+    OVER (PARTITION BY docno ORDER BY i) AS word_no
+  FROM (SELECT *, lag(kind) OVER (PARTITION BY docno ORDER BY i) AS last FROM inside)),
+found AS (SELECT docno, word_no, string_agg(c, '' ORDER BY i) AS word FROM opened WHERE kind IS NOT NULL GROUP BY ALL)
+SELECT docno, (row_number() OVER (PARTITION BY docno ORDER BY word_no) - 1)::int AS pos, word
+FROM found WHERE regexp_matches(word, '[\\p{{L}}\\p{{N}}]')
+"""
+
 # --- stemming ---------------------------------------------------------------------
 
 _OVER_0 = "^[^aeiouy]*[aeiouy]+[^aeiouy]"
@@ -388,6 +448,7 @@ ORACLE: dict[str, str] = {
         ["stems"],
         f"SELECT v.word, stem FROM (SELECT DISTINCT unnest({_words('text')}) AS word FROM docs) v JOIN stems s ON s.word = {_bare('v.word')}",
     ),
+    "segment_words": _SEGMENTS,
     "query_terms": _with(["topic_terms"], "SELECT qid, term, qtf FROM topic_terms"),
     "postings": _with(["postings"], "SELECT docno, term, tf FROM postings"),
     "postings_positions": _with(

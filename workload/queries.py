@@ -156,6 +156,12 @@ def analyze_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.groupBy("docno", "term").agg(F.count("*").alias("n"))
 
 
+def segment_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of texts in several scripts, with its place."""
+    documents = fx.scripted_documents(spark, sf_dir)
+    return documents.select("docno", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+
+
 def stem_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stem of every distinct word of the collection, possessives stripped."""
     documents = fx.index(spark, sf_dir).documents
@@ -366,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "vocab_approx": vocab_approx,
     "vocab_sketched": vocab_sketched,
     "analyze_tokens": analyze_tokens,
+    "segment_words": segment_words,
     "stem_vocab": stem_vocab,
     "query_terms": query_terms,
     "postings": postings,
