@@ -1,10 +1,12 @@
-"""Contamination against a plain scan, by both ways of matching, and the pipeline."""
+"""Contamination against a plain scan, by every way of matching, and the pipeline."""
 
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from trawl.llm import decontaminate
 from trawl.llm.decontaminate import contamination, drop_contaminated, remove_spans
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -46,17 +48,45 @@ def tables(spark):
     return docs, spark.createDataFrame(ITEMS, "item_id long, text string")
 
 
-@pytest.mark.parametrize("set_grams", [20_000, 0])
-def test_same_as_a_plain_scan(tables, set_grams):
-    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in contamination(*tables, set_grams=set_grams).collect()}
+# In the expression, by broadcast hashes, by a shuffle; the last with the smallest blocks
+# and no room for any other broadcast.
+WAYS = {"set": (20_000, 4_000_000, 4096, 64 << 20), "hashes": (0, 4_000_000, 4096, 64 << 20), "shuffle": (0, 0, 4096, 64 << 20), "least": (0, 0, 1, -1)}
+
+
+@pytest.fixture(params=WAYS)
+def options(request, monkeypatch):
+    set_grams, most_hashes, block, most_bytes = WAYS[request.param]
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", most_bytes)
+    return {"set_grams": set_grams, "most_hashes": most_hashes}
+
+
+def test_same_as_a_plain_scan(tables, options):
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in contamination(*tables, **options).collect()}
     assert got == {i: w[:4] for i, w in by_brute_force().items()}
 
 
+def test_windows_meet_broadcast_hashes_where_their_text_lies(spark, tables):
+    docs = tables[0].withColumn("__row", F.monotonically_increasing_id())
+    kept = decontaminate._with_words(docs, "text")
+    hashes = F.broadcast(spark.range(5).select(F.col("id").alias("hash")))
+    windows = decontaminate._windows(kept, 13).withColumn("hash", F.xxhash64("gram"))
+    plan = windows.join(hashes, "hash", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_words_and_rows_of_the_table_itself(spark, tables):
+    docs = tables[0].withColumnRenamed("hits", "words").withColumn("gram", F.lit(1))
+    assert contamination(docs, tables[1], set_grams=0).where("contaminated").count() == sum(w[3] for w in by_brute_force().values())
+    assert drop_contaminated(docs, tables[1], set_grams=0).columns == docs.columns
+
+
 def test_documents_and_spans_go(tables):
     want = by_brute_force()
     kept = drop_contaminated(*tables)
     assert kept.columns == tables[0].columns
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, w in want.items() if not w[3]]
+    assert {r.doc_id for r in drop_contaminated(*tables, set_grams=0).collect()} == {r.doc_id for r in kept.collect()}
     assert {r.doc_id: r.clean_words for r in remove_spans(*tables).collect()} == {i: w[4] for i, w in want.items()}
 
 

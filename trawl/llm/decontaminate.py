@@ -1,9 +1,11 @@
 """Benchmark decontamination: n-grams of test items found in training text.
 
 Everything is a DataFrame expression. The distinct test n-grams are counted, fetched and
-sent to every task as a hash set inside the expression; each document's windows are hashed
-in place, looked up, and hits verified against the n-gram's own words, so the text is never
-exploded or shuffled. Beyond ``SET_GRAMS`` n-grams the windows are matched by a join.
+sent to every task as a hash set: ``SET_GRAMS`` of them inside the expression, more of them
+as a broadcast of their 64-bit hashes. Each document's windows are hashed in place and looked
+up, and hits are verified against the n-gram's own words, so that neither the text nor its
+windows are shuffled. Only beyond ``BROADCAST_HASHES`` n-grams do windows meet them in a
+shuffle.
 
 Defined cases: null or empty text has no words and no hits; a null or word-free item has
 no n-gram; repeated documents give one row each; repeated items share their n-grams and
@@ -13,14 +15,22 @@ columns named like an added one are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.common import ascii_lower, only_null_free, stored
 
 WINDOW = 13
-# Most distinct n-grams sent inside the expression: about 2 MB of text in each task.
-SET_GRAMS = 20_000
+# Most distinct n-grams sent inside the expression, and most bytes of them.
+SET_GRAMS, SET_BYTES = 20_000, 4 << 20
+# Most hashes sent to every executor, about 50 bytes each there.
+BROADCAST_HASHES = 4_000_000
+# Most bytes of n-grams, of the items they name, or of hits sent to every executor.
+BROADCAST_BYTES = 64 << 20
+# Windows of a text made at a time, and parts of an n-gram that very many texts hold.
+BLOCK, SALTS = 4096, 16
 # Delimiters left once A-Z are lower-cased: every ASCII character but digits and a-z.
 DELIMITER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ADDED = ["n_words", "hits", "n_hit", "words"]
@@ -96,43 +106,75 @@ def _hits_by_set(docs: DataFrame, grams: list, text_col: str) -> DataFrame:
     return _with_words(docs, text_col).withColumn("hits", F.expr(hits))
 
 
-def _hits_by_join(docs: DataFrame, grams: DataFrame, lengths: list[int], text_col: str) -> DataFrame:
-    """The same hits by joining windows; for test sets too large to sit in an expression.
+def _bytes(df: DataFrame, size: Column) -> int:
+    return int(df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0])
+
+
+def _windows(kept: DataFrame, length: int) -> DataFrame:
+    """Every window of ``length`` words, made a block of words at a time."""
+    blocks = kept.where(F.size("words") >= length).select(
+        "__row", "words", F.explode(F.sequence(F.lit(0), F.floor((F.size("words") - length) / BLOCK).cast("int"))).alias("block"))
+    parts = blocks.select("__row", "block", F.slice("words", F.col("block") * BLOCK + 1, BLOCK + length - 1).alias("part"))
+    grams = F.transform(F.sequence(F.lit(1), F.size("part") - length + 1), lambda i: F.concat_ws(" ", F.slice("part", i, length)))
+    windows = parts.select("__row", "block", F.posexplode(grams).alias("at", "gram"))
+    place = (F.col("block") * BLOCK + F.col("at") + 1).alias("start")
+    return windows.select("__row", F.struct(place, F.lit(length).alias("length")).alias("hit"), "gram")
+
+
+def _verified(found: DataFrame, known: DataFrame, size: Column) -> DataFrame:
+    """``found`` joined with ``known`` n-grams by their words; frequent ones are salted."""
+    if _bytes(known, size) <= BROADCAST_BYTES:
+        return found.join(F.broadcast(known), "gram")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    salted = found.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(SALTS)).cast("int"))
+    return salted.join(known.select("*", salts), ["gram", "__salt"]).drop("__salt")
 
-    Rows are written with an id first, so that the id cannot change between its uses.
+
+def _hits_by_hash(docs: DataFrame, grams: DataFrame, lengths: list[int], few: bool, text_col: str) -> DataFrame:
+    """The same hits for test sets too large to sit in an expression.
+
+    Windows are made where their text lies and looked up among the hashes; with ``few``
+    hashes by broadcast. Rows are written with an id first, so that the id cannot change
+    between its uses; what is found returns to them by that id.
     """
     kept = stored(_with_words(docs, text_col).withColumn("__row", F.monotonically_increasing_id()), "windows")
-    parts = [
-        kept.where(F.size("words") >= n).select("__row", F.posexplode(F.transform(
-            F.sequence(F.lit(1), F.size("words") - n + 1), lambda i: F.concat_ws(" ", F.slice("words", i, n)))).alias("at", "gram"))
-        .select("__row", F.struct((F.col("at") + 1).alias("start"), F.lit(n).alias("length")).alias("hit"), "gram", F.lit(n).alias("length"))
-        for n in lengths
-    ]
-    windows = parts[0]
-    for part in parts[1:]:
-        windows = windows.union(part)
-    hit = windows.join(grams.select("gram", "length"), ["gram", "length"], "left_semi")
-    hits = hit.groupBy("__row").agg(F.sort_array(F.collect_set("hit")).alias("hits"))
+    hashes = grams.select(F.xxhash64("gram").alias("hash")).distinct()
+    known = grams.select("gram")
+    parts = []
+    for length in lengths:
+        windows = _windows(kept, length).withColumn("hash", F.xxhash64("gram"))
+        parts.append(windows.join(F.broadcast(hashes) if few else hashes, "hash", "left_semi").drop("hash"))
+    found = reduce(DataFrame.union, parts)
+    hit = _verified(found, known, F.length("gram") + 32)
+    hits = stored(hit.groupBy("__row").agg(F.sort_array(F.collect_set("hit")).alias("hits")), "hits")
+    small = _bytes(hits, F.size("hits") * 16 + 64) <= BROADCAST_BYTES
     none = F.expr("CAST(array() AS ARRAY<STRUCT<start: INT, length: INT>>)")
-    return kept.join(hits, "__row", "left").withColumn("hits", F.coalesce("hits", none)).drop("__row")
+    marked = kept.join(F.broadcast(hits) if small else hits, "__row", "left")
+    return marked.withColumn("hits", F.coalesce("hits", none)).drop("__row")
+
+
+def _mark(docs: DataFrame, grams: DataFrame, text_col: str, set_grams: int, most_hashes: int) -> DataFrame:
+    facts = grams.agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(F.length("gram")), F.lit(0)).alias("size"), F.sort_array(F.collect_set("length")).alias("lengths"),
+    ).first()
+    if not facts.n or (facts.n <= set_grams and facts.size <= SET_BYTES):
+        fetched = grams.select("gram", "length", F.xxhash64(F.split("gram", " ")).alias("hash")).collect()
+        marked = _hits_by_set(docs, fetched, text_col)
+    else:
+        marked = _hits_by_hash(docs, grams, facts.lengths, facts.n <= most_hashes, text_col)
+    return marked.withColumn("n_hit", covered(F.col("hits")))
 
 
 def mark_hits(
-    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
-    item_text: str = "text", window: int = WINDOW, set_grams: int = SET_GRAMS,
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+    window: int = WINDOW, set_grams: int = SET_GRAMS, most_hashes: int = BROADCAST_HASHES,
 ) -> DataFrame:
     """Add ``words``, ``n_words``, ``hits`` (start from 1, length; sorted) and ``n_hit``.
 
     ``n_hit`` counts the words that lie inside any occurrence of a test n-gram.
     """
-    grams = item_grams(items, item_col, item_text, window)
-    if grams.count() <= set_grams:
-        fetched = grams.select("gram", "length", F.xxhash64(F.split("gram", " ")).alias("hash")).collect()
-        marked = _hits_by_set(docs, fetched, text_col)
-    else:
-        lengths = [r.length for r in grams.select("length").distinct().collect()]
-        marked = _hits_by_join(docs, grams, lengths, text_col)
-    return marked.withColumn("n_hit", covered(F.col("hits")))
+    grams = stored(item_grams(items, item_col, item_text, window), "grams")
+    return _mark(docs, grams, text_col, set_grams, most_hashes)
 
 
 def is_contaminated(share: int = 20) -> Column:
@@ -160,27 +202,28 @@ def remove_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", **op
 
 
 def contamination(
-    docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text: str = "text", window: int = WINDOW, set_grams: int = SET_GRAMS, most_hashes: int = BROADCAST_HASHES,
 ) -> DataFrame:
     """One row per document: words, hit words, the items found, and the verdict.
 
     Only documents with hits go through the join that names the items.
     """
-    grams = item_grams(items, options.get("item_col", "item_id"), options.get("item_text", "text"), options.get("window", WINDOW))
-    marked = mark_hits(docs, items, text_col=text_col, **options)
-    # The id is given below the explosion: in one select it would number the exploded rows.
-    named = marked.withColumn("__row", F.monotonically_increasing_id()).select(
-        "__row", F.col(doc_col), "n_words", "n_hit",
-        F.explode_outer(F.array_distinct(F.transform("hits", lambda h: F.concat_ws(" ", F.slice("words", h["start"], h["length"]))))).alias("gram"),
-    )
-    few = grams.count() <= options.get("set_grams", SET_GRAMS)
-    known = grams.select("gram", "items")
-    rows = named.join(F.broadcast(known) if few else known, "gram", "left")
-    found = rows.groupBy("__row").agg(
-        F.first(doc_col).alias(doc_col), F.max("n_words").alias("n_words"), F.max("n_hit").alias("n_hit"),
+    grams = stored(item_grams(items, item_col, item_text, window), "grams")
+    marked = _mark(docs, grams, text_col, set_grams, most_hashes)
+    texts = F.array_distinct(F.transform("hits", lambda h: F.concat_ws(" ", F.slice("words", h["start"], h["length"]))))
+    # The rows are written narrow: what both sides of the union read, and a fixed number for each.
+    rows = stored(marked.select(
+        F.monotonically_increasing_id().alias("__row"), F.col(doc_col), "n_words", "n_hit", texts.alias("grams")), "marked")
+    named = rows.where(F.size("grams") > 0).select("__row", F.col(doc_col), "n_words", "n_hit", F.explode("grams").alias("gram"))
+    width = F.length("gram") + F.aggregate("items", F.lit(0), lambda n, item: n + F.length(item) + 16)
+    found = _verified(named, grams.select("gram", "items"), width).groupBy("__row").agg(
+        F.first(doc_col).alias(doc_col), F.first("n_words").alias("n_words"), F.first("n_hit").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return found.select(
+    clean = rows.where(F.size("grams") == 0).withColumn("items", F.expr("CAST(array() AS ARRAY<STRING>)"))
+    columns = [F.col(doc_col), "n_words", "n_hit", "items"]
+    return found.select(*columns).union(clean.select(*columns)).select(
         doc_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
         is_contaminated().alias("contaminated"),
     )
