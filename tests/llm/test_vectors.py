@@ -43,10 +43,7 @@ def test_links_are_those_of_all_pairs(spark):
     rows = clusters(600)
     want = by_brute_force(rows)
     assert sum(v[0] for v in want.values()) > 500
-    got = answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=40, block=64))
-    held = sum(got[i][0] for i in got) / sum(v[0] for v in want.values())
-    assert held >= 0.99 and all(got[i][0] <= want[i][0] for i in want)
-    assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
+    assert answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=40, block=64)) == want
 
 
 def test_one_group_of_copies_and_near_copies_is_whole(spark):
@@ -70,7 +67,8 @@ def test_odd_vectors_link_with_nothing(spark):
 
 def test_repeated_ids_null_ids_and_no_rows(spark):
     rows = [(1, [1.0, 0.0], 0, ""), (1, [1.0, 0.0], 0, ""), (None, [1.0, 0.0], 0, "")]
-    assert [tuple(r) for r in link_vectors(spark.createDataFrame(rows, SCHEMA)).collect()] == [(1, 1, 1, True)] * 2
+    got = [tuple(r) for r in link_vectors(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(got, key=str) == [(1, 1, 1, True)] * 2 + [(None, 0, None, None)]
     assert link_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
@@ -90,3 +88,15 @@ def test_low_rank_vectors_in_a_hot_cluster_keep_links_over_borders(spark):
     want = by_brute_force(rows)
     assert sum(v[0] for v in want.values()) > 1000
     assert answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=20, block=64)) == want
+
+
+def test_ragged_vectors_of_very_many_lengths(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for n in range(1, 90):
+        centre = rng.normal(0, 1, n)
+        rows += [(10 * n + i, (centre + rng.normal(0, 0.05, n)).astype("float32").tolist(), 0, "") for i in range(4)]
+    rows += [(5000 + r[0], *r[1:]) for r in clusters(120, seed=11, d=40)]
+    want = by_brute_force(rows)
+    assert sum(v[0] for v in want.values()) > 800
+    assert answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=30, block=64)) == want

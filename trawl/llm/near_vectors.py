@@ -17,8 +17,10 @@ block returns link counts and a spanning forest of its links, never its pairs.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
 link with nothing; vectors of different lengths link with nothing; every row counts as a
-vector, also repeated ones; rows with a null id are dropped; an empty table gives an
-empty result; extra columns are ignored.
+vector, also repeated ones; a row with a null id links with nothing and belongs to no
+component; an empty table gives an empty result; extra columns are ignored. Lengths of
+which there are at most ``per_list`` different vectors are one list each and share a job,
+so their number has no limit.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trawl.llm.common import HASH_SPAN, stored
 from trawl.llm.components import components
@@ -271,18 +272,17 @@ def link_vectors(
     per_list: int = PER_LIST, block: int = BLOCK,
 ) -> DataFrame:
     """One row per vector: ``key``, ``n_links``, ``component_id`` and ``kept``."""
-    given = rows.select(F.col(key).cast("long").alias("id"), F.col(vector_col).alias("vector")).where(F.col("id").isNotNull())
+    named = rows.select(F.col(key).cast("long").alias("id"), F.col(vector_col).alias("vector"))
+    given = named.where(F.col("id").isNotNull())
     packed = stored(given.mapInArrow(_doubles(key, vector_col), "id long, vector binary"), "vectors")
     valid = packed.where(F.col("vector").isNotNull())
     classes = stored(valid.groupBy("vector").agg(F.min("id").alias("first"), F.count("*").alias("number")), "classes")
-    lengths = [r[0] for r in classes.select(F.length("vector")).distinct().limit(65).collect()]
-    if len(lengths) > 64:
-        raise ValueError("vectors of more than 64 different lengths")
-    results = [_linked(classes.where(F.length("vector") == n), least, per_list, block) for n in lengths]
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("links", T.LongType())])
-    found = rows.sparkSession.createDataFrame([], schema)
-    for result in results:
-        found = found.unionByName(result)
+    sizes = classes.groupBy(F.length("vector").alias("width")).count()
+    common = [r.width for r in sizes.where(F.col("count") > per_list).orderBy("width").collect()]
+    others = classes.where(~F.length("vector").isin(common)) if common else classes
+    found = others.groupBy(F.length("vector")).applyInArrow(_linked_inside(least), "a long, b long, links long")
+    for n in common:
+        found = found.unionByName(_linked(classes.where(F.length("vector") == n), least, per_list, block))
     found = stored(found, "links")
     degrees = found.where(F.col("links").isNotNull()).groupBy("a").agg(F.sum("links").alias("links"))
     tops = components(found.where(F.col("b").isNotNull()).select("a", "b"))
@@ -295,7 +295,27 @@ def link_vectors(
     members = valid.join(keyed, "vector").select(
         "id", (F.coalesce("links", F.lit(0)) + F.col("number") - 1).alias("n_links"), F.coalesce("component", "first").alias("component_id"))
     alone = packed.where(F.col("vector").isNull()).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return members.unionByName(alone).select(F.col("id").alias(key), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    nameless = named.where(F.col("id").isNull()).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return members.unionByName(alone).unionByName(nameless).select(
+        F.col("id").alias(key), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+def _linked_inside(least: float):
+    """Link counts and forest links of all vectors of one length, as one list."""
+
+    def run(table: pa.Table) -> pa.Table:
+        units = as_units(table.column("vector").to_pylist())
+        model = train(units, 1, least)
+        lists = model.assign(units)[0]
+        codes, error = model.encode(units, lists)
+        rows = table.select(["number", "vector"]).append_column("id", table.column("first")).append_column("list", pa.array(lists, pa.int32()))
+        held = rows.append_column("codes", pa.array([c.tobytes() for c in codes], pa.binary())).append_column("error", pa.array(error, pa.float64()))
+        held = held.append_column("home", pa.nulls(len(rows), pa.bool_()))
+        seeking = rows.append_column("codes", pa.nulls(len(rows), pa.binary())).append_column("error", pa.nulls(len(rows), pa.float64()))
+        seeking = seeking.append_column("home", pa.array(np.ones(len(rows), dtype=bool)))
+        return _search(model, least)(pa.concat_tables([held, seeking]))
+
+    return run
 
 
 def _linked(classes: DataFrame, least: float, per_list: int, block: int) -> DataFrame:
