@@ -31,6 +31,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,8 @@ BLOCK = 2048
 RERANKED = 1 << 16
 # Rounding of squared distances, which decides the list of a vector between two centres.
 SLACK = 1e-7
+# Rounding of sums of squared distances (4 at most) in single precision.
+SINGLE_SLACK = 1e-4
 
 
 @dataclass
@@ -91,12 +94,15 @@ class Quantiser:
             error += gaps[np.arange(len(unit)), codes[:, m]]
         return codes, np.sqrt(np.maximum(error, 0))
 
-    def table_distances(self, unit: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric distances of queries (rows) to coded vectors (columns) of one list."""
-        rest, total = unit - self.centres[which], np.zeros((len(unit), len(codes)))
+    def near(self, unit: np.ndarray, which: int, codes: np.ndarray, error: np.ndarray) -> np.ndarray:
+        """Which coded vectors (columns) of one list may lie within the radius of a query.
+
+        Asymmetric distances in single precision; what that may lose is added to the reach.
+        """
+        rest, total = unit - self.centres[which], np.zeros((len(unit), len(codes)), dtype=np.float32)
         for m, part in enumerate(self.slices()):
-            total += squared(rest[:, part], self.words[m])[:, codes[:, m]]
-        return np.sqrt(np.maximum(total, 0))
+            total += np.take(squared(rest[:, part], self.words[m]).astype(np.float32), codes[:, m], axis=1)
+        return total <= ((self.radius + error) ** 2 + SINGLE_SLACK).astype(np.float32)
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -123,7 +129,7 @@ def train(sample: np.ndarray, lists: int, least: float = LEAST_COSINE, seed: int
 
 
 def as_units(vectors: list[bytes]) -> np.ndarray:
-    rows = np.stack([np.frombuffer(v, dtype="<f8") for v in vectors])
+    rows = np.frombuffer(b"".join(vectors), dtype="<f8").reshape(len(vectors), -1)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
@@ -165,20 +171,19 @@ def _search(model: Quantiser, least: float):
 
     def run(table: pa.Table) -> pa.Table:
         which = table.column("list")[0].as_py()
-        rows = table.to_pylist()
-        seeking = sorted((r for r in rows if r["codes"] is None), key=lambda r: r["id"])
-        held = sorted((r for r in rows if r["codes"] is not None), key=lambda r: r["id"])
+        coded = pc.is_valid(table.column("codes"))
+        seeking, held = (table.filter(x).sort_by("id") for x in (pc.invert(coded), coded))
         a, b, counts = [], [], {}
-        if seeking and held:
-            query, stock = as_units([r["vector"] for r in seeking]), as_units([r["vector"] for r in held])
-            codes = np.stack([np.frombuffer(r["codes"], dtype=np.uint8) for r in held])
-            error, number = np.array([r["error"] for r in held]), np.array([r["number"] for r in held])
-            home, many = np.array([r["home"] for r in seeking]), np.array([r["number"] for r in seeking])
-            query_ids, stock_ids = np.array([r["id"] for r in seeking]), np.array([r["id"] for r in held])
+        if len(seeking) and len(held):
+            query, stock = as_units(seeking.column("vector").to_pylist()), as_units(held.column("vector").to_pylist())
+            codes = np.frombuffer(b"".join(held.column("codes").to_pylist()), dtype=np.uint8).reshape(len(held), -1)
+            error, number = held.column("error").to_numpy(), held.column("number").to_numpy()
+            home, many = seeking.column("home").to_numpy(), seeking.column("number").to_numpy()
+            query_ids, stock_ids = seeking.column("id").to_numpy(), held.column("id").to_numpy()
             lefts, rights = [], []
             for at in range(0, len(query), 256):
                 part = query[at : at + 256]
-                close = model.table_distances(part, which, codes) <= model.radius + error + 1e-9
+                close = model.near(part, which, codes, error)
                 i, j = np.nonzero(close & (~home[at : at + 256, None] | (query_ids[at : at + 256, None] < stock_ids)))
                 for k in range(0, len(i), RERANKED):
                     one, two = i[k : k + RERANKED], j[k : k + RERANKED]
