@@ -186,3 +186,38 @@ def test_probabilities_of_a_context_sum_to_one():
     answers = next(pitman_yor._answer(model)(iter([rows])))
     p = 10 ** pitman_yor.flat(answers.column("log_p"), "<f4")[0].reshape(len(words), len(asked)).astype(float)
     assert p.sum(0) + model.unseen(asked) == pytest.approx(np.ones(len(asked)), abs=1e-5)
+
+
+def test_contexts_are_whole_words_not_their_endings(spark):
+    """``nation`` and ``lion`` end alike, but different words follow them."""
+    rows = [(i, "nation alpha" if i % 2 else "lion omega", True) for i in range(200)]
+    rows += [(1000, "nation alpha", False), (1001, "nation omega", False), (1002, "lion alpha", False), (1003, "lion omega", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    score = {r.doc_id: r.score for r in pitman_yor.fit_and_score(docs, F.col("learn")).collect()}
+    assert score[1000] - score[1001] > 1.5 and score[1003] - score[1002] > 1.5
+    assert abs(score[1000] - score[1003]) < 0.1
+
+
+def test_seated_words_sum_to_one_after_every_context(spark):
+    """Customers less discounts and what goes to the parent, over all words of a context."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    words = [b"", b"xon", b"yon", b"b", b"zzz"]
+    ids = np.sort(np.array([pitman_yor.context_id(w) for w in words], dtype="<u8"))
+    counts = draw.integers(1, 40, (5, 5)) * draw.integers(0, 2, (5, 5)) + np.eye(5, dtype=int)
+    kept = [np.flatnonzero(c) for c in counts]
+    rows = [(w, ids[k].tobytes(), c[k].astype("<u8").tobytes(), int(c.sum())) for w, c, k in zip(words, counts, kept)]
+    table = spark.createDataFrame([tuple(bytearray(v) if isinstance(v, bytes) else v for v in r) for r in rows], pitman_yor.UPPER_COLUMNS)
+    seated, totals, discount = pitman_yor.seat_words(table)
+    held, total = np.zeros(5), {r.own: r.total for r in totals.collect()}
+    tables = np.zeros(5)
+    for r in seated.collect():
+        at = np.searchsorted(ids, np.frombuffer(r.contexts, "<u8"))
+        held[at] += np.frombuffer(r.excess, "<f4")
+        n, t = np.frombuffer(r.counts, "<u8"), np.frombuffer(r.tables, "<u8")
+        assert (t >= 1).all() and (t <= n).all() and (t[n == 1] == 1).all()
+        tables[at] += 1
+    for i, own in enumerate(ids.view("<i8")):
+        assert total[own] >= tables[i]
+        assert held[i] + discount * total[own] == pytest.approx(counts.sum(0)[i], rel=1e-5)
