@@ -237,3 +237,16 @@ def test_an_index_rebuilt_elsewhere_with_other_buckets_is_read_whole(spark, tmp_
     assert stale.buckets == 2
     opened = open_index(spark, path + "/")
     assert opened.buckets == 8 and opened.documents.count() == 50
+
+
+def test_buckets_follow_the_text_and_the_number_of_documents(spark, monkeypatch):
+    raw = spark.createDataFrame([("a", "x" * 600_000), ("b", "é" * 200_000), ("c", None)], "docno string, text string")
+    least = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(indexing, "BYTES_PER_BUCKET", 10_000)
+    assert indexing.buckets_for(raw) == 100
+    assert indexing.buckets_for(raw.limit(0)) == least
+    monkeypatch.setattr(indexing, "BYTES_PER_BUCKET", 1 << 30)
+    assert indexing.buckets_for(raw) == least
+    assert indexing.buckets_for(spark.range(indexing.DOCUMENTS_PER_BUCKET * 9).selectExpr("string(id) AS docno", "'' AS text")) == 9
+    # A bucket's tokens, and its documents times 200 topics, are grouped in one task.
+    assert indexing.DOCUMENTS_PER_BUCKET <= 20_000
