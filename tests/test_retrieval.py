@@ -161,3 +161,26 @@ def test_all_models_have_scorers():
 
 def test_topics_without_known_terms_give_nothing(spark, index):
     assert retrieve(index, make_topics(spark, {3: "zebra", 4: ""})).count() == 0
+
+
+def test_bars_of_a_share_of_the_documents_keep_the_best(spark):
+    hits = spark.range(40_000).select(
+        F.lit("m").alias("model"), (F.col("id") % 2).cast("int").alias("qid"), F.format_string("d%07d", "id").alias("docno"),
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1000.0 - 300).alias("place"),
+    ).unionByName(spark.createDataFrame([("m", 9, "x", 1.0)], "model string, qid int, docno string, place double"))
+    kept = scoring.above_bars(hits, ["model", "qid"], "place", 500, 4)
+    counts = {r.qid: r["count"] for r in kept.groupBy("qid").count().collect()}
+    assert counts[9] == 1 and all(500 <= counts[q] < 5000 for q in (0, 1))
+    best = hits.where("qid = 0").orderBy(F.desc("place")).limit(500)
+    assert best.join(kept, ["qid", "docno"], "left_anti").count() == 0
+
+
+def test_many_buckets_are_cut_by_bars_before_the_shuffle(spark, monkeypatch):
+    scored = spark.range(3000).select(
+        (F.col("id") % 3).cast("int").alias("qid"), F.format_string("d%05d", F.col("id")).alias("docno"),
+        (F.col("id") * 104729 % 977).cast("double").alias("a"),
+    )
+    plain, used, bars = as_dict(scoring.rank_hits(scored, ["a"], 50, parts=16)), [], scoring.above_bars
+    monkeypatch.setattr(scoring, "above_bars", lambda *a: used.append(a) or bars(*a))
+    assert as_dict(scoring.rank_hits(scored, ["a"], 50, parts=8000)) == plain
+    assert len(used) == 1
