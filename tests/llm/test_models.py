@@ -89,6 +89,24 @@ def test_quality_defined_cases(spark):
     assert {r.score for r in quality.score(odd, alone).collect()} == {1.0}
 
 
+def test_scoring_works_on_little_text_at_once():
+    """Six MB of text: neither its copies nor its features are held together."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    text = "\n".join(prose("aa", random.Random(6), 9) for _ in range(400))
+    field = quality.LineField(rng.normal(size=(quality.N_FEATURES, 2)), np.zeros((2, 2)))
+    network = language.train([prose(x, random.Random(7)).encode() for x in SYLLABLES] * 3, [*SYLLABLES] * 3, epochs=1)
+    tables, n = network.pair_tables(), 6_000_000 // len(text)
+    scorers = [lambda t: field.scores(x.encode() for x in t), lambda t: language.score_texts(network, t, n, tables)[1]]
+    for scores, most in zip(scorers, (48, 24)):
+        tracemalloc.start()
+        got = scores(text[i:] + text[:i] for i in range(n))
+        peak = tracemalloc.get_traced_memory()[1] / 2**20
+        tracemalloc.stop()
+        assert len(got) == n and peak < most
+
+
 def test_marginals_are_sums_over_all_labellings():
     from itertools import product
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.storage import scratch_path
 
 HASH_SPAN = 1 << 62
+# Texts of a batch that are Python strings at once.
+HELD_TEXTS = 128
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +62,12 @@ def bounded_sample(df: DataFrame, key: str, group: str, per_group: int) -> DataF
     return df.where(keep)
 
 
+def texts_of(texts: pa.Array) -> Iterator[str | None]:
+    """The texts of an Arrow batch, of which only some are copied out of it at once."""
+    for at in range(0, len(texts), HELD_TEXTS):
+        yield from texts.slice(at, HELD_TEXTS).to_pylist()
+
+
 def parts_of(spark: SparkSession, rows: int, rows_per_part: int) -> int:
     """Enough parts for their size, and no fewer than the session's shuffles use."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_part))

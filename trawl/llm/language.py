@@ -13,23 +13,23 @@ through, and columns named like the two added ones are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import bounded_sample
+from trawl.llm.common import bounded_sample, texts_of
 
 UNKNOWN = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 # Least probability of the language of a document that is kept.
 LEAST = 0.5
-# Windows scored at once: their activations take about 30 MB.
-BLOCK = 1024
+# Windows scored at once: their activations take about 8 MB.
+BLOCK = 256
 
 
 @dataclass
@@ -169,13 +169,13 @@ def fit(
     return train([p[0] for p in pairs], [p[1] for p in pairs]) if pairs else None
 
 
-def score_texts(network: ByteNetwork | None, texts: list, tables: dict | None) -> tuple[list[str], list[float]]:
-    """Predicted language and its probability for each text."""
-    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+def score_texts(network: ByteNetwork | None, texts: Iterable, n: int, tables: dict | None) -> tuple[list[str], list[float]]:
+    """Predicted language and its probability for each of the ``n`` texts."""
+    names, scores = [UNKNOWN] * n, [0.0] * n
     if network is None:
         return names, scores
     waiting: list[tuple[int, np.ndarray, int]] = []
-    sums = np.zeros((len(texts), len(network.languages)))
+    sums = np.zeros((n, len(network.languages)))
     held = 0
 
     def flush() -> None:
@@ -219,12 +219,12 @@ def _sizes(rows: int, n: int) -> np.ndarray:
 def predict(docs: DataFrame, network: ByteNetwork | None, text_col: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score``."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = network.pair_tables() if network else None
         for texts in batches:
-            names, scores = score_texts(network, texts.tolist(), tables)
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+            names, scores = score_texts(network, texts_of(texts), len(texts), tables)
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score") or c == text_col]
     return docs.select(*kept, guess(F.col(text_col)).alias("__guess")).select(*kept, "__guess.lang_pred", "__guess.score")
