@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -165,6 +166,21 @@ def test_language_model_does_not_depend_on_partitions(spark):
     assert one == pytest.approx(many, rel=1e-5)
 
 
+def test_pairs_of_words_are_shuffled_to_their_words_alone(spark):
+    """Totals of contexts are joined to bare words, not to rows with all their pairs."""
+    docs = spark.createDataFrame(chained(30), "doc_id long, text string, score string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pitman_yor.fit_and_score(docs, F.lit(True))._jdf.queryExecution()
+        text = plan.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    moved = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\((\w+)#", text)
+    assert sum("excess" in columns for columns, key in moved if key == "word") == 1
+    assert any(key == "own" for _, key in moved) and not any("excess" in columns for columns, key in moved if key == "own")
+
+
 def test_language_model_without_training_rows_and_without_rows(spark):
     docs = spark.createDataFrame([(1, "a b", "")], "doc_id long, text string, score string")
     row = pitman_yor.fit_and_score(docs, F.lit(False)).first()
