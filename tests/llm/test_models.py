@@ -1,6 +1,7 @@
 """The trained operators: held-out accuracy, exact parts by brute force, defined cases."""
 
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -181,6 +182,47 @@ def test_pairs_of_words_are_shuffled_to_their_words_alone(spark):
     assert any(key == "own" for _, key in moved) and not any("excess" in columns for columns, key in moved if key == "own")
 
 
+def test_pairs_seen_once_are_not_sent_by_name(spark, monkeypatch):
+    """They reach their words and contexts as numbers; each other pair is passed on by one chunk."""
+    rows = [(i, t, learn) for i, (t, learn) in enumerate([
+        ("a b a b c", True), ("a b d only", True), ("c a b", False), ("d c", True), ("x a", False), (None, True), ("a b a b c", True)])]
+    seen = []
+    seat = pitman_yor.seat_words
+    monkeypatch.setattr(pitman_yor, "seat_words", lambda words, sweeps, loners: seen.append((words.collect(), loners)) or seat(words, sweeps, loners))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(3, "doc_id")
+    pitman_yor.fit_and_score(docs, F.col("learn"))
+    pairs = Counter()
+    for _, text, learn in rows:
+        words = [b"", *(text or "").encode().split(), b""]
+        pairs.update(zip(words[1:], words) if learn else ())
+    (words, loners), got = seen[0], {}
+    for r in words:
+        for context, n in zip(np.frombuffer(r.contexts, "<u8"), np.frombuffer(r.counts, "<u8")):
+            got[bytes(r.word), int(context)] = got.get((bytes(r.word), int(context)), 0) + int(n)
+    assert got == {(w, pitman_yor.context_id(u)): n for (w, u), n in pairs.items() if n > 1}
+    alone = int(loners.sum())
+    assert alone == 1 and b"only" not in {bytes(r.word) for r in words}
+    assert sum(int(np.frombuffer(r.singles, "<u8").sum()) for r in words) + alone == sum(n == 1 for n in pairs.values())
+    assert {bytes(r.word): r.after for r in words} == {w: sum(n == 1 and u == w for (_, u), n in pairs.items()) for w in {w for w, _ in pairs} - {b"only"}}
+
+
+def test_tables_that_are_used_up_are_deleted(spark):
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    docs = spark.createDataFrame(chained(30), "doc_id long, text string, score string")
+    pitman_yor.fit_and_score(docs, fold("doc_id", 5) != 1).collect()
+    left = [x for x in set(folder.iterdir()) - before if any(x.rglob("*.parquet"))]
+    assert sorted(x.name.split("-")[0] for x in left) == ["chunks", "codes", "totals", "words"]
+
+
+def test_sealed_rows_come_back():
+    import pyarrow as pa
+
+    table = pa.table({"n": [3, -1, 1 << 40], "word": pa.array([b"a", b"", b"xyz"], pa.binary()), "asked": pitman_yor.cells(np.arange(5, dtype="<u2"), np.array([0, 4, 1]))})
+    assert pitman_yor.opened(pitman_yor.sealed(table)).equals(table)
+    assert pitman_yor.opened(pitman_yor.sealed(table.slice(1, 2))).equals(table.slice(1, 2))
+
+
 def test_language_model_without_training_rows_and_without_rows(spark):
     docs = spark.createDataFrame([(1, "a b", "")], "doc_id long, text string, score string")
     row = pitman_yor.fit_and_score(docs, F.lit(False)).first()
