@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from trawl.llm.near_vectors import link_vectors
+from trawl.llm.near_vectors import cut, link_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, n_links string"
 
@@ -100,3 +100,49 @@ def test_ragged_vectors_of_very_many_lengths(spark):
     want = by_brute_force(rows)
     assert sum(v[0] for v in want.values()) > 800
     assert answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=30, block=64)) == want
+
+
+def test_vectors_near_all_borders_are_not_stored_once_for_each_list(spark, monkeypatch):
+    """Every list is searched by most vectors; what is shuffled stays a few times the vectors."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle"))
+
+    rng = np.random.default_rng(13)
+    n, d = 6000, 64
+    rows = [(i, v, 0, "") for i, v in enumerate(rng.normal(0, 1, (n, d)).astype("float32").tolist())]
+    vectors = spark.createDataFrame(rows, SCHEMA).cache()
+    vectors.count()
+    sizes = []
+
+    def none(links):
+        sizes.append(shuffled())
+        return spark.createDataFrame([], "node long, component long")
+
+    monkeypatch.setattr("trawl.llm.near_vectors.components", none)
+    before = shuffled()
+    link_vectors(vectors, per_list=200).collect()
+    assert max(sizes) - before < 4 * n * d * 4
+
+
+def test_files_hold_whole_lists_or_pieces_of_one():
+    starts, pieces = cut(np.array([3, 0, 4, 25, 2, 8, 1]), 10)
+    assert starts.tolist() == [0, 0, 0, 1, 4, 4, 5] and pieces.tolist() == [1, 1, 1, 3, 1, 1, 1]
+
+
+def test_one_list_over_many_files_meets_itself_in_all_of_them(spark):
+    rng = np.random.default_rng(17)
+    centre = rng.normal(0, 1, 24)
+    rows = [(i, (centre + rng.normal(0, 0.12 + 0.04 * (i % 5), 24)).astype("float32").tolist(), 0, "") for i in range(400)]
+    want = by_brute_force(rows)
+    assert sum(v[0] for v in want.values()) > 5000
+    assert answer(link_vectors(spark.createDataFrame(rows, SCHEMA), per_list=390, block=30)) == want
+
+
+@pytest.mark.parametrize("kind", ["array<double>", "array<int>"])
+def test_components_of_other_types(spark, kind):
+    rows = [(1, [1.0, 2.0, -3.0], 0, ""), (2, [2.0, 4.0, -6.0], 0, ""), (3, [1.0, 0.0, 3.0], 0, ""), (4, [0.0, 0.0, 0.0], 0, "")]
+    frame = spark.createDataFrame(rows, SCHEMA.replace("array<float>", "array<double>"))
+    assert answer(link_vectors(frame.withColumn("embedding", frame.embedding.cast(kind)))) == by_brute_force(rows)
