@@ -250,3 +250,19 @@ def test_buckets_follow_the_text_and_the_number_of_documents(spark, monkeypatch)
     assert indexing.buckets_for(spark.range(indexing.DOCUMENTS_PER_BUCKET * 9).selectExpr("string(id) AS docno", "'' AS text")) == 9
     # A bucket's tokens, and its documents times 200 topics, are grouped in one task.
     assert indexing.DOCUMENTS_PER_BUCKET <= 20_000
+
+
+def updated_index(spark, tmp_path):
+    texts = {f"d{i}": f"common w{i % 7}" for i in range(60)}
+    first = make_index(spark, str(tmp_path / "a"), texts, buckets=4)
+    batch = spark.createDataFrame([(f"d{i}", "changed words") for i in range(30)], "docno string, text string")
+    return update_index(first, batch, str(tmp_path / "b"), merge=False)
+
+
+def test_replaced_ids_are_neither_sorted_nor_sent_to_all_tasks(spark, tmp_path):
+    """However many they are: a bucket hashes its own."""
+    index = updated_index(spark, tmp_path)
+    for table in (index.documents, index.postings):
+        plan = executed_plan(table)
+        assert "ShuffledHashJoin" in plan and "Exchange" not in plan
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan

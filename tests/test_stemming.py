@@ -5,6 +5,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
+from trawl.functions import stemming
 from trawl.functions.analysis import analyze
 from trawl.functions.stemming import STEP_2, STEP_3, STEP_4, stem_words
 
@@ -151,3 +152,13 @@ def test_the_generated_stage_is_small_enough_to_compile(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
     assert sizes and max(sizes) < 8000
+
+
+def test_every_suffix_reaches_its_pattern(spark):
+    """The test of the last two letters lets pass all that a pattern can match."""
+    words = [stem + s for stem in ("", "a", "tr", "relat", "hesit", "vietnam") for s in [*STEP_2, *STEP_3, *STEP_4]]
+    frame = spark.createDataFrame([(w,) for w in words], "w string")
+    for table in (STEP_2, STEP_3, STEP_4):
+        ends = frame.select("w", stemming._ends_like(F.col("w"), table).alias("may")).collect()
+        assert all(r.may for r in ends if r.w.endswith(tuple(table)))
+        assert not frame.select(stemming._ends_like(F.lit("the"), table).alias("may")).first().may
