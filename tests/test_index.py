@@ -266,3 +266,12 @@ def test_replaced_ids_are_neither_sorted_nor_sent_to_all_tasks(spark, tmp_path):
         plan = executed_plan(table)
         assert "ShuffledHashJoin" in plan and "Exchange" not in plan
         assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_a_merged_index_has_one_file_per_bucket(spark, tmp_path):
+    indexing.merge_segments(updated_index(spark, tmp_path), str(tmp_path / "c"))
+    for table in ("documents", "postings"):
+        names = [p.name for p in (tmp_path / "c" / table).glob("part-*")]
+        buckets = [re.search(r"_(\d{5})\.", n).group(1) for n in names]
+        assert len(buckets) == len(set(buckets)) == 4
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
