@@ -1,6 +1,7 @@
 import random
 import string
 
+import pytest
 from pyspark.sql import functions as F
 
 from trawl.functions.cleaning import (
@@ -11,6 +12,7 @@ from trawl.functions.cleaning import (
     halve_blanks,
     token_count,
 )
+from trawl.operators import postings
 
 
 def apply(spark, function, text, *args):
@@ -86,3 +88,20 @@ def test_random_texts_against_plain_python(spark):
         clean_topic(F.col("t"), stop).alias("q"),
     ).collect():
         assert (row.d, row.q) == (document(texts[row.i]), topic(texts[row.i]))
+
+
+@pytest.mark.parametrize("folded, sent", [(10_000, 1_000_000), (0, 1_000_000), (0, 0)])
+def test_texts_keep_their_place_under_a_list_longer_than_a_broadcast(spark, monkeypatch, folded, sent):
+    """Words that no text holds do not count, and tokens do not travel."""
+    monkeypatch.setattr(postings, "FOLDED_WORDS", folded)
+    monkeypatch.setattr(postings, "BROADCAST_ROWS", sent)
+    stop = ["the", "of", "", "l'été"]
+    texts = ["the cat of the  house", "The l'été of", None, "", "  ", "the", "the the\tof\n cat ", "of", "a" * 300 + " the"]
+    rows = [(None if i == 4 else i // 2, t) for i, t in enumerate(texts)]
+    raw = spark.createDataFrame(rows, "docno int, text string")
+    table = spark.createDataFrame([(w,) for w in [*stop, *stop, None, *(f"unheard{i}" for i in range(50))]], "word string")
+    want = raw.select("docno", clean_document(F.col("text"), stop).alias("text"))
+    got = postings.clean_documents(raw, table)
+    assert sorted(map(tuple, got.select("docno", "text").collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" in plan) == (sent == 0)

@@ -37,9 +37,13 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+def raw_tokens(text: Column) -> Column:
+    return F.split(squeeze(text), " ")
+
+
 def blank_stop_words(text: Column, stop_words: list[str]) -> Column:
     """Replace tokens that are stop words by nothing, keeping the blanks around them."""
-    tokens = F.split(squeeze(text), " ")
+    tokens = raw_tokens(text)
     if not stop_words:
         return F.array_join(tokens, " ")
     return F.array_join(

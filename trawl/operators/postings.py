@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from trawl.functions.analysis import analyze
 from trawl.functions.cleaning import (
     bare_topic,
+    blank_stop_words,
     clean_document,
     clean_topic,
     finish_document,
     finish_topic,
-    squeeze,
+    raw_tokens,
     token_count,
 )
 from trawl.operators.keyed import BROADCAST_ROWS, is_small
@@ -22,6 +27,8 @@ from trawl.storage import written
 StopWords = list[str] | DataFrame
 
 FREQUENT_TERMS = 10_000
+# Words of a table that are folded into expressions as a list is.
+FOLDED_WORDS = 10_000
 
 
 def clean_documents(raw: DataFrame, stop_words: StopWords) -> DataFrame:
@@ -44,26 +51,50 @@ def clean_topics(raw: DataFrame, stop_words: StopWords) -> DataFrame:
 def blank_listed(rows: DataFrame, key: str, text: Column, stop_words: DataFrame) -> DataFrame:
     """``key, text`` with the tokens that ``stop_words`` lists replaced by nothing.
 
-    Tokens meet the list in a join and are put together again in their order. Rows that
-    are partitioned by ``key`` stay where they are as long as the list can be broadcast.
-    A longer list is shuffled with the tokens, by way of a written table so that a row
-    keeps its number.
+    Of a list only the words that the texts hold matter. The list meets the distinct tokens
+    in a join that leaves these; they are folded into an expression, or sent to the tasks,
+    and texts stay where they are. Words too many for that meet the distinct tokens of each
+    row, and a row is joined with its own, by way of a written table so that it keeps its
+    number.
     """
-    numbered = rows.select(key, F.monotonically_increasing_id().alias("row"), text.alias("text"))
-    listed = stop_words.select(F.col("word").alias("token")).distinct().withColumn("listed", F.lit(True))
-    if is_small(listed, BROADCAST_ROWS):
-        listed = F.broadcast(listed)
-    else:
-        numbered = written(numbered, "texts")
-    tokens = numbered.select(
-        key, "row", F.col("text").isNull().alias("none"), F.posexplode_outer(F.split(squeeze(F.col("text")), " ")).alias("pos", "token")
-    )
-    kept = F.struct("pos", F.when(F.col("listed"), "").otherwise(F.col("token")).alias("token"))
-    whole = tokens.join(listed, "token", "left").groupBy(key, "row").agg(
-        F.first("none").alias("none"), F.array_sort(F.collect_list(kept)).alias("tokens")
-    )
-    joined = F.array_join(F.transform("tokens", lambda t: t["token"]), " ")
-    return whole.select(key, F.when(~F.col("none"), joined).alias("text"))
+    listed = stop_words.select(F.col("word").alias("token")).distinct()
+    heard = written(distinct_tokens(rows.select(text.alias("text"))).distinct().join(listed, "token"), "heard")
+    count = heard.count()
+    if count <= FOLDED_WORDS:
+        return rows.select(key, blank_stop_words(text, sorted(r.token for r in heard.collect())).alias("text"))
+    if count <= BROADCAST_ROWS:
+        held = rows.sparkSession.sparkContext.broadcast(heard.toArrow().column("token").combine_chunks())
+        return rows.select(key, F.array_join(blanking(held)(raw_tokens(text)), " ").alias("text"))
+    numbered = written(rows.select(key, F.monotonically_increasing_id().alias("row"), text.alias("text")), "texts")
+    own = distinct_tokens(numbered, "row").join(heard, "token").groupBy("row").agg(F.collect_list("token").alias("own"))
+    whole = numbered.join(own, "row", "left")
+    return whole.select(key, F.array_join(blanking_own(raw_tokens(F.col("text")), F.col("own")), " ").alias("text"))
+
+
+def distinct_tokens(texts: DataFrame, *keys: str) -> DataFrame:
+    """``keys, token``: every token of a row's ``text`` once."""
+    return texts.select(*keys, F.explode(F.array_distinct(raw_tokens(F.col("text")))).alias("token"))
+
+
+def blanking(held):
+    """Tokens with those of a list sent to the tasks replaced by nothing."""
+    @arrow_udf(T.ArrayType(T.StringType()))
+    def blank(tokens: pa.Array) -> pa.Array:
+        words = tokens.values
+        kept = pc.if_else(pc.is_in(words, value_set=held.value), pa.scalar("", words.type), words)
+        return pa.ListArray.from_arrays(pa.array(tokens.offsets.to_numpy()), kept, mask=tokens.is_null())
+
+    return blank
+
+
+@arrow_udf(T.ArrayType(T.StringType()))
+def blanking_own(tokens: pa.Array, own: pa.Array) -> pa.Array:
+    """Tokens with those of the row's own list replaced by nothing."""
+    kept = []
+    for words, listed in zip(tokens, own):
+        gone = set(listed.as_py() or ())
+        kept.append(None if not words.is_valid else ["" if w in gone else w for w in words.as_py()])
+    return pa.array(kept, pa.list_(pa.string()))
 
 
 def build_postings(
